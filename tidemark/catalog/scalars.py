@@ -199,15 +199,13 @@ def get_filtered_columns_in_relation(t):
     return t.lineitem.select(*r.get_filtered_columns_in_relation(t.lineitem, skip))
 
 
-_BLANKED = {
-    "o_orderkey": F.col("o_orderkey"),
-    "o_orderstatus": F.replace(F.col("o_orderstatus"), F.lit("P"), F.lit("")),
-    "o_orderpriority": F.replace(F.col("o_orderpriority"), F.lit("5-LOW"), F.lit("")),
-}
-
-
 def _blanked(t):
-    return t.orders.select(*[c.alias(n) for n, c in _BLANKED.items()])
+    """Orders with some statuses and priorities empty."""
+    return t.orders.select(
+        "o_orderkey",
+        F.replace(F.col("o_orderstatus"), F.lit("P"), F.lit("")).alias("o_orderstatus"),
+        F.replace(F.col("o_orderpriority"), F.lit("5-LOW"), F.lit("")).alias("o_orderpriority"),
+    )
 
 
 @query(
