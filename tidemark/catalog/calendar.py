@@ -94,8 +94,8 @@ WITH {_DAYS},
 @query(
     "get_fiscal_year_dates",
     _FISCAL
-    + f"SELECT {_sql('d')} AS date_day, fy AS fiscal_year_number, {_sql('ys')} AS fiscal_year_start_date, {_sql('ye')} AS fiscal_year_end_date,"
-    f" {_sql('ws')} AS week_start_date, {_sql('we')} AS week_end_date, wk AS fiscal_week_of_year FROM f",
+    + f"SELECT {_sql('d')} AS date_day, CAST(fy AS INTEGER) AS fiscal_year_number, {_sql('ys')} AS fiscal_year_start_date, {_sql('ye')} AS fiscal_year_end_date,"
+    f" {_sql('ws')} AS week_start_date, {_sql('we')} AS week_end_date, CAST(wk AS INTEGER) AS fiscal_week_of_year FROM f",
 )
 def fiscal_year_dates(t):
     return as_text(get_fiscal_year_dates(order_calendar(t), year_end_month=1))
@@ -108,8 +108,8 @@ def fiscal_year_dates(t):
       CASE WHEN wk = 53 THEN 3 WHEN (wk - 1) % 13 <= 3 THEN 1 WHEN (wk - 1) % 13 <= 8 THEN 2 ELSE 3 END AS poq FROM f),
     n AS (SELECT *, CAST(q * 3 + poq AS INTEGER) AS period FROM p),
     o AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n_orders FROM orders GROUP BY 1)
-    SELECT {_sql('d')} AS date_day, fy AS fiscal_year_number, {_sql('ws')} AS week_start_date, {_sql('we')} AS week_end_date,
-      wk AS fiscal_week_of_year, dense_rank() OVER (PARTITION BY period ORDER BY wk) AS fiscal_week_of_period,
+    SELECT {_sql('d')} AS date_day, CAST(fy AS INTEGER) AS fiscal_year_number, {_sql('ws')} AS week_start_date, {_sql('we')} AS week_end_date,
+      CAST(wk AS INTEGER) AS fiscal_week_of_year, CAST(dense_rank() OVER (PARTITION BY period ORDER BY wk) AS INTEGER) AS fiscal_week_of_period,
       period AS fiscal_period_number, CAST(q + 1 AS INTEGER) AS fiscal_quarter_number, poq AS fiscal_period_of_quarter, coalesce(n_orders, 0) AS n_orders
     FROM n LEFT JOIN o USING (d)""",
 )

@@ -440,9 +440,9 @@ def generate_surrogate_key(t):
 @query(
     "regexp_instr",
     """
-    SELECT doc_id, CASE WHEN regexp_extract(text, '[0-9]+') = '' THEN 0
-      ELSE instr(text, regexp_extract(text, '[0-9]')) END AS first_digit,
-      CASE WHEN regexp_matches(text, '(?i)THE') THEN instr(lower(text), 'the') ELSE 0 END AS first_the
+    SELECT doc_id, CAST(CASE WHEN regexp_extract(text, '[0-9]+') = '' THEN 0
+      ELSE instr(text, regexp_extract(text, '[0-9]')) END AS INTEGER) AS first_digit,
+      CAST(CASE WHEN regexp_matches(text, '(?i)THE') THEN instr(lower(text), 'the') ELSE 0 END AS INTEGER) AS first_the
     FROM documents
     """,
 )

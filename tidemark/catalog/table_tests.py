@@ -36,10 +36,10 @@ def not_accepted_values(t):
 
 @query(
     "relationships",
-    "SELECT l_suppkey, count(*) AS failing_rows FROM lineitem WHERE l_suppkey NOT IN (SELECT o_custkey FROM orders) GROUP BY 1",
+    "SELECT doc_id, count(*) AS failing_rows FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1",
 )
 def relationships(t):
-    return g.relationships(t.lineitem, "l_suppkey", t.orders, "o_custkey")
+    return g.relationships(t.documents, "doc_id", t.labels, "doc_id")
 
 
 @query(
@@ -94,10 +94,10 @@ def at_least_one(t):
 
 @query(
     "not_constant",
-    "SELECT l_returnflag, count(DISTINCT l_linestatus) AS n_distinct FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_linestatus) = 1",
+    "SELECT l_orderkey, count(DISTINCT l_returnflag) AS n_distinct FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) = 1",
 )
 def not_constant(t):
-    return g.not_constant(t.lineitem, "l_linestatus", ["l_returnflag"])
+    return g.not_constant(t.lineitem, "l_returnflag", ["l_orderkey"])
 
 
 @query(

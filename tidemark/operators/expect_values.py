@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.scalars import as_column
 from .core import Condition, aggregate, failing_rows, only
-from .ordered import with_neighbour
+from .ordered import cut_points, sort_keys, with_neighbour
 
 # --- values ------------------------------------------------------------------
 
@@ -69,11 +69,12 @@ def expect_column_values_to_have_consistent_casing(
 
 
 def _monotone(df, column, sort_column, strictly, row_condition, group_by, ordered, ranges):
-    group = list(group_by)
-    order = [sort_column] if sort_column == column else [sort_column, column]
-    keys = [*group, *[c for c in order if c not in group]]
-    rows = only(df, row_condition).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    near = with_neighbour(rows, column, order, group, into="previous", ranges=ranges)
+    group, order = list(group_by), sort_keys([sort_column], [column])
+    keys = sort_keys(group, order)
+    tested = only(df, row_condition)
+    cuts = cut_points(tested, keys, ranges)
+    rows = tested.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    near = with_neighbour(rows, column, order, group, cuts=cuts, carry=["copies"])
     value, previous = F.col(column), F.col("previous")
     step = rules.violates(ordered(value, previous))
     if strictly:

@@ -4,18 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.rules import any_of, is_missing
 
 SMALL_ROWS = 200_000
+SMALL_BYTES = 64 * 1024 * 1024
 HEAVY_KEYS = 256
 
 
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """True if the table has at most ``max_rows`` rows; reads no more than it must."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame) -> Column:
+    """Rough size of a row: text by its length, nested values by their JSON."""
+    size = F.lit(0).cast("bigint")
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        else:
+            size = size + 8
+    return size
+
+
+def is_small(
+    df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES
+) -> bool:
+    """True if the table is proven to fit a broadcast: counted and measured in one pass."""
+    measured = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes")
+    ).first()
+    return measured["rows"] <= max_rows and measured["bytes"] <= max_bytes
 
 
 def lookup_join(

@@ -46,7 +46,7 @@ def flag_duplicates_in_batch(
     shuffle, and looked up by value: a hot value does not gather in one task, and
     the batch is not shuffled at all while few values repeat.
     """
-    order = F.struct(*row_order)
+    order = F.col(row_order[0]) if len(row_order) == 1 else F.struct(*row_order)
     repeated = (
         df.where(F.col(field).isNotNull())
         .groupBy(field)
