@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLES_PER_RANGE = 20
 MAX_SAMPLE = 100_000
@@ -30,8 +31,8 @@ def _sort_key(names: Sequence[str]) -> Column:
     return F.struct(*[F.col(n) for n in names])
 
 
-def cut_points(df: DataFrame, names: Sequence[str], ranges: int | None = None) -> list:
-    """Up to ``ranges - 1`` rows that split ``df`` evenly in the order of ``names``.
+def cut_points(df: DataFrame, names: Sequence[str], ranges: int | None = None) -> list[str]:
+    """Up to ``ranges - 1`` keys, as JSON, that split ``df`` evenly in the order of ``names``.
 
     The driver sees a sample of about 20 rows per range. Any cut points give the
     same result; good ones give even tasks.
@@ -43,35 +44,32 @@ def cut_points(df: DataFrame, names: Sequence[str], ranges: int | None = None) -
     keys = df.select(*names)
     size, total = min(ranges * SAMPLES_PER_RANGE, MAX_SAMPLE), keys.count()
     sample = keys.sample(size / total, seed=7) if total > size else keys
-    rows = sample.orderBy(*names).collect()
-    picks = [rows[i * len(rows) // ranges] for i in range(1, ranges)] if rows else []
+    rows = sample.orderBy(*names).select(F.to_json(_sort_key(names))).collect()
+    picks = [rows[i * len(rows) // ranges][0] for i in range(1, ranges)] if rows else []
     return list(dict.fromkeys(picks))
 
 
-def range_number(df: DataFrame, names: Sequence[str], cuts: list) -> Column:
-    """Number of cut points at or below the row, found by bisection."""
+def with_range(
+    df: DataFrame, names: Sequence[str], cuts: Sequence[str], into: str = "_range"
+) -> DataFrame:
+    """Add the number of cut points at or below the row's key.
+
+    A bisection, one generated projection per step: the cuts are one folded literal
+    and the work per row grows with the logarithm of their number.
+    """
     if not cuts:
-        return F.lit(0)
+        return df.withColumn(into, F.lit(0))
     types = {f.name: f.dataType for f in df.schema.fields}
-    points = F.array(
-        *[F.struct(*[F.lit(c[n]).cast(types[n]).alias(n) for n in names]) for c in cuts]
-    )
-    key = _sort_key(names)
-    steps = F.array(*[F.lit(i) for i in range(len(cuts).bit_length())])
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
-
-    def halve(span: Column, _step: Column) -> Column:
-        lo, hi = span["lo"], span["hi"]
-        mid = ((lo + hi) / 2).cast("int")
-        above = F.get(points, mid) <= key
-        open_span = lo < hi
-        return F.struct(
-            F.when(open_span & above, mid + 1).otherwise(lo).alias("lo"),
-            F.when(open_span & ~above, mid).otherwise(hi).alias("hi"),
-        )
-
-    # Never null: Catalyst then pushes no null test of it down to the scan.
-    return F.coalesce(F.aggregate(steps, start, halve, lambda span: span["lo"]), F.lit(0))
+    key_type = T.StructType([T.StructField(n, types[n]) for n in names])
+    points = F.from_json(F.lit(f"[{','.join(cuts)}]"), T.ArrayType(key_type))
+    found = df.withColumns({"_key": _sort_key(names), into: F.lit(0)})
+    step = 1 << (len(cuts).bit_length() - 1)
+    while step:
+        at = F.col(into)
+        further = F.get(points, at + (step - 1)) <= F.col("_key")
+        found = found.withColumn(into, at + F.when(further, step).otherwise(0))
+        step >>= 1
+    return found.drop("_key")
 
 
 def with_neighbour(
@@ -81,7 +79,7 @@ def with_neighbour(
     partition_by: Sequence[str] = (),
     into: str = "previous",
     ahead: bool = False,
-    cuts: list | None = None,
+    cuts: Sequence[str] | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """Add the value of the previous (or next) row of the group in sort order.
@@ -95,7 +93,7 @@ def with_neighbour(
     keys = sort_keys(group, order)
     if cuts is None:
         cuts = cut_points(df, keys)
-    cells = df.withColumn("_range", range_number(df, keys, cuts)).withColumn(
+    cells = with_range(df, keys, cuts).withColumn(
         "_value", F.struct(F.col(value).alias("v"), *carry)
     )
     inner = Window.partitionBy(*group, "_range").orderBy(*order)
@@ -148,10 +146,8 @@ def exact_quantile(
     data = df.select(*group, F.col(value).cast("double").alias("_v")).where("_v is not null")
     keys = [*group, "_v"]
     cuts = cut_points(data, keys, ranges)
-    counts = (
-        data.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_range", range_number(data, keys, cuts))
+    counts = with_range(
+        data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, cuts
     )
 
     # One row per group and range: few rows per group.
