@@ -115,7 +115,7 @@ def bronze_to_silver(t):
 def quarantine(t):
     root = new_folder(t.spark, "quarantine")
     _to_silver(t, root)
-    rows = ly.read_log(t.spark, f"{root}/quarantine")
+    rows = ly.read_log(t.spark, f"{root}/quarantine", merge_schema=True)
     return rows.select(
         "id", "cliente_id", "status", "prioridade", text("dt_ingest"), F.concat_ws(",", "_reasons").alias("reasons")
     )

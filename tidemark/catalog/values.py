@@ -66,7 +66,7 @@ def not_be_null(t):
     "SELECT text, count(*) AS n_records FROM documents GROUP BY 1 HAVING count(*) > 1",
 )
 def be_unique(t):
-    return e.expect_column_values_to_be_unique(t.documents, "text")
+    return e.expect_column_values_to_be_unique(t.documents, "text", wide=True)
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.scalars import as_column
 from .core import Condition, aggregate, failing_rows, only
+from .joins import repeated_keys
 from .ordered import cut_points, sort_keys, with_neighbour
 
 # --- values ------------------------------------------------------------------
@@ -42,8 +43,10 @@ def expect_column_values_to_not_be_null(df, column, row_condition=None) -> DataF
     return failing_rows(df, rules.is_missing(column), row_condition)
 
 
-def expect_column_values_to_be_unique(df, column, row_condition=None) -> DataFrame:
-    return expect_compound_columns_to_be_unique(df, [column], row_condition=row_condition)
+def expect_column_values_to_be_unique(
+    df: DataFrame, column: str, row_condition: Condition | None = None, wide: bool = False
+) -> DataFrame:
+    return expect_compound_columns_to_be_unique(df, [column], "all_values_are_missing", row_condition, wide)
 
 
 def expect_column_values_to_have_consistent_casing(
@@ -156,11 +159,11 @@ def expect_compound_columns_to_be_unique(
     column_list: Sequence[str],
     ignore_row_if: str = "all_values_are_missing",
     row_condition: Condition | None = None,
+    wide: bool = False,
 ) -> DataFrame:
     """Column tuples held by more than one row."""
     rows = only(df, row_condition).where(rules.row_is_counted(column_list, ignore_row_if))
-    counts = rows.groupBy(*column_list).agg(F.count(F.lit(1)).alias("n_records"))
-    return counts.where("n_records > 1")
+    return repeated_keys(rows, column_list, wide=wide)
 
 
 def expect_multicolumn_sum_to_equal(

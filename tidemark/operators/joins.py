@@ -88,6 +88,24 @@ def key_counts(df: DataFrame, columns: Sequence[str], into: str = "failing_rows"
     return data.groupBy(*columns).agg(F.count(F.lit(1)).alias(into))
 
 
+def repeated_keys(
+    df: DataFrame, columns: Sequence[str], into: str = "n_records", wide: bool = False
+) -> DataFrame:
+    """Column tuples held by more than one row; null is a value like any other.
+
+    For ``wide`` values, long texts say, their 64-bit hashes are counted first and
+    only rows whose hash repeats take their values along. Equal values have equal
+    hashes, so none is lost, and the values themselves decide.
+    """
+    rows = df.select(*columns)
+    if wide:
+        hashed = rows.withColumn("_h", F.xxhash64(*columns))
+        counts = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        rows = hashed.join(counts.select("_h"), "_h", "left_semi").drop("_h")
+    counts = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(into))
+    return counts.where(F.col(into) > 1)
+
+
 def keys_without_match(
     child: DataFrame, column: str, parent: DataFrame, field: str
 ) -> DataFrame:

@@ -124,6 +124,8 @@ def get_relations_by_prefix(
     return {n: t for n, t in tables.items() if n.split(".")[-1].lower().startswith(escaped)}
 
 
+MAX_LISTED = 10_000
+
 # --- pivot and unpivot -------------------------------------------------------
 
 
@@ -134,10 +136,17 @@ def get_column_values(
     default: Sequence | None = None,
     where: str | None = None,
 ) -> list:
-    """Distinct values, most frequent first, equal counts by value; for pivot lists."""
+    """Distinct values, most frequent first, equal counts by value; for pivot lists.
+
+    More than ``MAX_LISTED`` values are refused, not cut off: they are no column list.
+    """
     if df is None:
         return list(default or [])
-    return [r[0] for r in column_value_counts(df, column, max_records, where).collect()]
+    limit = MAX_LISTED + 1 if max_records is None else max_records
+    values = [r[0] for r in column_value_counts(df, column, limit, where).collect()]
+    if max_records is None and len(values) > MAX_LISTED:
+        raise ValueError(f"{column} has more than {MAX_LISTED} values; give max_records")
+    return values
 
 
 def column_value_counts(
@@ -256,13 +265,25 @@ def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
 
 
 def _spine(bounds: DataFrame, part: str) -> DataFrame:
-    """Expand one row with ``_start`` and ``_end`` (exclusive) to a row per date part."""
+    """Expand one row with ``_start`` and ``_end`` (exclusive) to a row per date part.
+
+    Parts below a day are laid out day by day, so no array outgrows a day's parts.
+    """
     part = dates.check_part(part)
-    steps = F.sequence("_start", "_end", dates.interval(part))
+    name = f"date_{part}"
+
+    def steps(start: str, end: str, by: str) -> Column:
+        # The lesser start keeps a reversed pair legal until the filter drops it.
+        return F.explode(F.sequence(F.least(start, end), F.col(end), dates.interval(by)))
+
+    spine = bounds.where("_start < _end")
+    if part in dates.SECONDS:
+        spine = spine.select(steps("_start", "_end", "day").alias("_start"), "_end").where("_start < _end")
+        next_day = dates.add_parts("_start", "day", 1)
+        spine = spine.withColumn("_end", F.least("_end", next_day))
     return (
-        bounds.where("_start < _end")
-        .select(F.explode(steps).alias(f"date_{part}"), "_end")
-        .where(F.col(f"date_{part}") < F.col("_end"))
+        spine.select(steps("_start", "_end", part).alias(name), "_end")
+        .where(F.col(name) < F.col("_end"))
         .drop("_end")
     )
 

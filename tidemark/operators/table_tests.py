@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from ..functions import dates, rules
 from .core import Condition, aggregate, expression_is_true, failing_rows, only
 from .expect_time import recency  # noqa: F401  (one of the table tests)
-from .joins import compare_join, key_counts, keys_without_match
+from .joins import compare_join, key_counts, keys_without_match, repeated_keys
 from .ordered import cut_points, sort_keys, with_neighbour
 from .reshape import except_both_ways
 
 
-def unique(df: DataFrame, column: str) -> DataFrame:
+def unique(df: DataFrame, column: str, wide: bool = False) -> DataFrame:
     """Present values held by more than one row."""
-    return key_counts(df, [column], "n_records").where("n_records > 1")
+    return repeated_keys(df.where(F.col(column).isNotNull()), [column], wide=wide)
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -92,8 +92,7 @@ def not_null_proportion(
 
 def unique_combination_of_columns(df: DataFrame, combination: Sequence[str]) -> DataFrame:
     """Column tuples held by more than one row; null is a value like any other."""
-    counts = df.groupBy(*combination).agg(F.count(F.lit(1)).alias("n_records"))
-    return counts.where("n_records > 1")
+    return repeated_keys(df, combination)
 
 
 # --- two tables --------------------------------------------------------------

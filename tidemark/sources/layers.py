@@ -36,9 +36,13 @@ def write_batch(
     writer.parquet(batch_path(path, batch_id, generation))
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """All batches of a layer table, columns merged over schema changes."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+def read_log(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """All batches of a layer table.
+
+    ``merge_schema`` reads every file's footer to join columns over schema changes,
+    which only a table that may change its columns needs (the quarantine).
+    """
+    return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
 def latest_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
