@@ -49,34 +49,30 @@ def lookup_join(
     """Left join to a table that has one row per key, safe for hot keys.
 
     A small right side is broadcast after its size was checked. Otherwise the
-    ``heavy_keys`` most frequent keys of the left side are looked up in a
-    broadcast of at most that many rows, and their rows are spread evenly over the
-    shuffle of the rest. Any other key then holds at most 1/``heavy_keys`` of the
-    rows.
+    ``heavy_keys`` most frequent keys of the left side are looked up in a broadcast
+    of that many rows, and their rows, like rows without a key, are not shuffled at
+    all. Any key left for the shuffle holds at most 1/``heavy_keys`` of the rows.
     """
     keys = list(keys)
     if is_small(right, max_broadcast_rows):
         return left.join(F.broadcast(right), keys, "left")
 
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = counts.orderBy(F.desc("_n"), *keys).limit(heavy_keys).select(*keys)
     extra = [c for c in right.columns if c not in keys]
-    found = right.join(F.broadcast(heavy), keys, "left_semi").select(
-        *keys, F.struct(*extra).alias("_heavy"), F.lit(True).alias("_is_heavy")
-    )
-    # One row per key on the right: at most ``heavy_keys`` rows.
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(4 * heavy_keys))
-    # Rows that need no partner from the shuffle, heavy or without a key, spread out.
-    done = F.coalesce(F.col("_is_heavy"), F.lit(False)) | any_of(is_missing(k) for k in keys)
-    marked = left.join(F.broadcast(found), keys, "left").withColumn(
-        "_salt", F.when(done, spread).otherwise(F.lit(-1))
+    keyless = any_of(is_missing(k) for k in keys)
+    counts = left.where(~keyless).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = counts.orderBy(F.desc("_n"), *keys).limit(heavy_keys).select(*keys)
+    # One row per key on the right: found and heavy have at most ``heavy_keys`` rows.
+    found = right.join(F.broadcast(heavy), keys, "left_semi").withColumn(
+        "_match", F.struct(*extra)
     )
-    rest = right.select(*keys, F.struct(*extra).alias("_cold"), F.lit(-1).cast("bigint").alias("_salt"))
-    joined = marked.join(rest, [*keys, "_salt"], "left")
-    return joined.select(
-        *left.columns,
-        *[F.coalesce(F.col("_heavy")[c], F.col("_cold")[c]).alias(c) for c in extra],
+    heavy = heavy.join(F.broadcast(found.select(*keys, "_match")), keys, "left").withColumn(
+        "_is_heavy", F.lit(True)
     )
+    marked = left.join(F.broadcast(heavy), keys, "left")
+    settled = F.coalesce("_is_heavy", F.lit(False)) | keyless
+    near = marked.where(settled).select(*left.columns, *[F.col("_match")[c].alias(c) for c in extra])
+    far = marked.where(~settled).select(*left.columns).join(right, keys, "left")
+    return near.unionByName(far)
 
 
 def key_counts(df: DataFrame, columns: Sequence[str], into: str = "failing_rows") -> DataFrame:
@@ -101,7 +97,7 @@ def repeated_keys(
     if wide:
         hashed = rows.withColumn("_h", F.xxhash64(*columns))
         counts = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-        rows = hashed.join(counts.select("_h"), "_h", "left_semi").drop("_h")
+        rows = lookup_join(hashed, counts, ["_h"]).where("_n is not null").select(*columns)
     counts = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(into))
     return counts.where(F.col(into) > 1)
 
