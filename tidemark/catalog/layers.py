@@ -5,13 +5,16 @@ Each query writes its layers below the session's shared folder and reads them ba
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
+from ..operators.reshape import latest_per_key
 from ..plans import models
-from ..plans.quality import pii_hash
+from ..plans.quality import apply_contract_types, flag_duplicates_in_batch, normalise_strings, pii_hash
 from ..sources import layers as ly
-from ..sources.contract import contract_from
-from ..sources.files import processed_file_ledger
+from ..sources.contract import contract_from, get_contract
+from ..sources.files import csv_stream_source, processed_file_ledger, table_stream_source
 from ..sources.folders import new_folder
 from ..streaming import hops
 from .registry import query, text
@@ -19,18 +22,8 @@ from .reshape import DATAMART_SQL, datamart
 
 INGESTED = "2024-01-31"
 
-ORDERS_CONTRACT = contract_from(
-    {
-        "table": "orders",
-        "fields": [
-            {"name": "id", "type": "integer", "unique": True},
-            {"name": "cliente_id", "type": "IntegerType", "pii": True},
-            {"name": "status", "type": "string", "in_set": ["O", "F"]},
-            {"name": "prioridade", "type": "string", "regex": "^[1-4]-"},
-            {"name": "data_venda", "type": "date"},
-        ],
-    }
-)
+CONTRACTS = Path(__file__).resolve().parent.parent / "contracts"
+ORDERS_CONTRACT = get_contract(CONTRACTS, "orders")
 
 
 def _raw_orders(t):
@@ -45,17 +38,17 @@ def _raw_orders(t):
     return rows.unionByName(rows.where("status = 'F'"))
 
 
-def _to_bronze(t, root):
+def _to_bronze(t, root, runs=1):
     _raw_orders(t).write.option("header", True).csv(f"{root}/raw")
-    for _ in range(2):
-        # The second run finds no new file and adds nothing.
+    for _ in range(runs):
+        # A second run finds no new file and adds nothing.
         hops.raw_to_bronze(t.spark, f"{root}/raw", f"{root}/bronze", f"{root}/checkpoints/bronze", INGESTED)
     return t.spark.read.parquet(f"{root}/bronze")
 
 
-def _to_silver(t, root):
+def _to_silver(t, root, runs=1):
     _to_bronze(t, root)
-    for _ in range(2):
+    for _ in range(runs):
         hops.bronze_to_silver(
             t.spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", f"{root}/checkpoints/silver", ORDERS_CONTRACT
         )
@@ -71,7 +64,7 @@ _RAW = """
 
 @query("raw_to_bronze", f"SELECT *, '{INGESTED}' AS dt_ingest FROM {_RAW}")
 def raw_to_bronze(t):
-    bronze = _to_bronze(t, new_folder(t.spark, "raw-to-bronze"))
+    bronze = _to_bronze(t, new_folder(t.spark, "raw-to-bronze"), runs=2)
     return bronze.select("id", "cliente_id", "status", "prioridade", "data_venda", text("dt_ingest"))
 
 
@@ -114,7 +107,7 @@ def bronze_to_silver(t):
 )
 def quarantine(t):
     root = new_folder(t.spark, "quarantine")
-    _to_silver(t, root)
+    _to_silver(t, root, runs=2)
     rows = ly.read_log(t.spark, f"{root}/quarantine", merge_schema=True)
     return rows.select(
         "id", "cliente_id", "status", "prioridade", text("dt_ingest"), F.concat_ws(",", "_reasons").alias("reasons")
@@ -168,8 +161,6 @@ def keyed_upsert(t):
     query_.awaitTermination()
     # Files arrive in any order, so the latest event decides, not the latest batch.
     log = ly.read_log(t.spark, f"{root}/log")
-    from ..operators.reshape import latest_per_key
-
     return latest_per_key(log, ["user_id"], "event_id").select("user_id", "event_id", "event_type", "value")
 
 
@@ -248,3 +239,188 @@ def hashed_silver_customers(t):
     )
     silver = models.silver_customers(pii_hash(bronze_customers(t), contract))
     return silver.select("cliente_id", "nome", "cidade")
+
+
+# --- sources, triggers and sinks one by one ----------------------------------
+
+
+def _drain(stream, root, sink=None):
+    """Run a stream until it has read what is there; into files unless a sink is given."""
+    writer = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    if sink is None:
+        writer = writer.format("parquet").option("path", f"{root}/out")
+    else:
+        writer = writer.foreachBatch(sink)
+    writer.start().awaitTermination()
+
+
+def _event_files(t, root, files=4):
+    """Events as a folder of a few files, and their stream, one file per batch."""
+    t.events.repartitionByRange(files, "event_id").write.mode("append").parquet(f"{root}/in")
+    return table_stream_source(t.spark, f"{root}/in", max_files_per_batch=1)
+
+
+_BY_TYPE = "SELECT event_type, count(*) AS n_events, round(sum(value), 2) AS total FROM events GROUP BY 1"
+
+
+def _by_type(rows):
+    return rows.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_events"), F.round(F.sum("value"), 2).alias("total")
+    )
+
+
+@query(
+    "contract_source",
+    """
+    SELECT o_orderkey AS id, o_custkey AS cliente_id, o_orderstatus AS status, o_orderpriority AS prioridade,
+      CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS data_venda FROM orders
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
+    FROM orders WHERE o_orderstatus = 'F'
+    """,
+)
+def contract_source(t):
+    """A table read in the types of its contract file."""
+    contract = get_contract(CONTRACTS, "orders")
+    typed = apply_contract_types(normalise_strings(_raw_orders(t), contract.names), contract)
+    return typed.withColumn("data_venda", text("data_venda"))
+
+
+@query("csv_stream_source", f"SELECT * FROM {_RAW}")
+def csv_source(t):
+    root = new_folder(t.spark, "csv-source")
+    _raw_orders(t).write.option("header", True).csv(f"{root}/raw")
+    _drain(csv_stream_source(t.spark, f"{root}/raw"), root)
+    return t.spark.read.parquet(f"{root}/out")
+
+
+@query(
+    "ingest_append_sink",
+    """
+    SELECT '2024-01-30' AS dt_ingest, status, count(*) AS n_rows FROM (SELECT o_orderstatus AS status FROM orders) GROUP BY 2
+    UNION ALL
+    SELECT '2024-01-31', o_orderstatus, count(*) FROM orders WHERE o_orderstatus = 'F' GROUP BY 2
+    """,
+)
+def ingest_append(t):
+    """Two drops on two days: each run takes the new files only."""
+    root = new_folder(t.spark, "ingest")
+    rows = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    for day, drop in (("2024-01-30", rows), ("2024-01-31", rows.where("status = 'F'"))):
+        drop.write.mode("append").option("header", True).csv(f"{root}/raw")
+        hops.raw_to_bronze(t.spark, f"{root}/raw", f"{root}/bronze", f"{root}/checkpoint", day)
+    bronze = t.spark.read.parquet(f"{root}/bronze")
+    return bronze.groupBy(text("dt_ingest"), "status").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("table_stream_source", _BY_TYPE)
+def table_source(t):
+    root = new_folder(t.spark, "table-source")
+    _drain(_event_files(t, root), root)
+    return _by_type(t.spark.read.parquet(f"{root}/out"))
+
+
+@query("available_now_trigger", _BY_TYPE)
+def available_now(t):
+    """Four files, one per batch, drained by one run that ends by itself."""
+    root = new_folder(t.spark, "available-now")
+    _drain(_event_files(t, root), root, hops.file_sink(f"{root}/out", ("event_type",)))
+    return _by_type(t.spark.read.parquet(f"{root}/out"))
+
+
+@query(
+    "checkpoint",
+    "SELECT event_type, 2 * count(*) AS n_events, round(2 * sum(value), 2) AS total FROM events GROUP BY 1",
+)
+def checkpoint(t):
+    """Two drops of the events, three runs: every file is read once."""
+    root = new_folder(t.spark, "checkpointed")
+    for _ in range(2):
+        _drain(_event_files(t, root, files=2), root)
+    _drain(table_stream_source(t.spark, f"{root}/in"), root)
+    return _by_type(t.spark.read.parquet(f"{root}/out"))
+
+
+@query("foreach_batch", _BY_TYPE)
+def foreach_batch(t):
+    """Every batch runs twice, as after a failure, and counts once."""
+    root = new_folder(t.spark, "foreach")
+
+    def process(batch, batch_id):
+        for _ in range(2):
+            ly.write_batch(batch, f"{root}/log", batch_id, partition_by=["event_type"])
+
+    _drain(_event_files(t, root), root, process)
+    return _by_type(ly.read_log(t.spark, f"{root}/log"))
+
+
+@query("batch_dedup", _BY_TYPE)
+def batch_dedup(t):
+    """Events dropped twice into one batch; the second copies are flagged in it."""
+    root = new_folder(t.spark, "batch-dedup")
+    for _ in range(2):
+        t.events.write.mode("append").parquet(f"{root}/in")
+    stream = table_stream_source(t.spark, f"{root}/in").select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+
+    def process(batch, batch_id):
+        flagged = flag_duplicates_in_batch(batch, "event_id", ["file", "row"], "repeated")
+        ly.write_batch(flagged.where("not repeated"), f"{root}/log", batch_id)
+
+    _drain(stream, root, process)
+    return _by_type(ly.read_log(t.spark, f"{root}/log"))
+
+
+@query(
+    "warehouse_append_sink",
+    "SELECT event_type, count(*) AS n_events, round(sum(value), 2) AS total, 4 AS n_loads FROM events GROUP BY 1",
+)
+def warehouse_append(t):
+    """Each batch is appended under its load number."""
+    root = new_folder(t.spark, "warehouse-append")
+    hops.silver_to_warehouse(
+        t.spark, _event_folder(t, root), f"{root}/checkpoint", hops.file_sink(f"{root}/out", ("event_type",)), "run-0001", 1
+    )
+    loaded = t.spark.read.parquet(f"{root}/out")
+    loads = loaded.agg(F.count_distinct("load_batch").cast("int").alias("n_loads"))
+    return _by_type(loaded).crossJoin(F.broadcast(loads))
+
+
+def _event_folder(t, root):
+    t.events.repartitionByRange(4, "event_id").write.parquet(f"{root}/in")
+    return f"{root}/in"
+
+
+@query(
+    "downstream_stream_of_merged_table",
+    "SELECT user_id, max(event_id) AS event_id FROM events GROUP BY 1",
+)
+def downstream(t):
+    """A log of upserts is streamed on, although its keys are updated."""
+    root = new_folder(t.spark, "downstream")
+
+    def upsert(batch, batch_id):
+        ly.write_batch(batch.groupBy("user_id").agg(F.max("event_id").alias("event_id")), f"{root}/silver", batch_id)
+
+    _drain(_event_files(t, root), root, upsert)
+    hops.silver_to_warehouse(
+        t.spark, f"{root}/silver", f"{root}/load-checkpoint", hops.file_sink(f"{root}/warehouse", ()), "run-0001"
+    )
+    loaded = t.spark.read.parquet(f"{root}/warehouse")
+    return latest_per_key(loaded, ["user_id"], "event_id").select("user_id", "event_id")
+
+
+@query(
+    "archive_after_ingest",
+    "SELECT o_orderstatus AS status, count(*) AS n_rows FROM orders GROUP BY 1",
+)
+def archive_after_ingest(t):
+    """One drop per status; a run archives the files of runs before it and reads its own."""
+    root = new_folder(t.spark, "archive")
+    rows = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    for status in ("O", "F", "P"):
+        rows.where(F.col("status") == status).write.mode("append").option("header", True).csv(f"{root}/raw")
+        hops.raw_to_bronze(
+            t.spark, f"{root}/raw", f"{root}/bronze", f"{root}/checkpoint", INGESTED, archive_dir=f"{root}/archive"
+        )
+    return t.spark.read.parquet(f"{root}/bronze").groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -28,7 +28,12 @@ def query(name: str, sql: str | None = None):
     def register(function: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered already")
-        QUERIES[name] = lambda spark, folder: function(Tables(spark, folder))
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return function(Tables(spark, folder))
+
+        run.__module__, run.__doc__ = function.__module__, function.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return function

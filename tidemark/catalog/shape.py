@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..operators import expect_shape as e
 from ..operators.suite import Check, run_checks
-from ..plans.report import BusinessRule, report_table
+from ..plans.report import BusinessRule, ReportFailed, report_table, validate_table
 from ..sources.contract import contract_from
 from .registry import query, rounded
 
@@ -171,6 +171,16 @@ CUSTOMERS = contract_from(
 )
 
 
+def _customer_rows(t):
+    """The customer table with some broken mails, states and statuses."""
+    mark = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("")).otherwise(F.lit("@mail.com"))
+    return t.customer.select(
+        F.concat(F.lower("c_mktsegment"), mark).alias("email"),
+        F.col("c_nationkey").cast("string").alias("estado"),
+        F.when(F.col("c_acctbal") < 0, "Suspenso").otherwise("Ativo").alias("status"),
+    )
+
+
 @query(
     "contract_report_customers",
     """
@@ -183,13 +193,7 @@ CUSTOMERS = contract_from(
     """,
 )
 def contract_report_customers(t):
-    mark = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("")).otherwise(F.lit("@mail.com"))
-    rows = t.customer.select(
-        F.concat(F.lower("c_mktsegment"), mark).alias("email"),
-        F.col("c_nationkey").cast("string").alias("estado"),
-        F.when(F.col("c_acctbal") < 0, "Suspenso").otherwise("Ativo").alias("status"),
-    )
-    report = report_table(rows, CUSTOMERS)
+    report = report_table(_customer_rows(t), CUSTOMERS)
     return report.withColumn("conformity_rate", rounded("conformity_rate", 6))
 
 
@@ -201,3 +205,66 @@ def conformity_rate(t):
     rule = BusinessRule("positive", "c_acctbal", rules.outside("c_acctbal", 0, strictly=True))
     contract = contract_from({"table": "customer", "fields": [{"name": c, "type": "string"} for c in t.customer.columns]})
     return report_table(t.customer, contract, [rule]).select("rule", rounded("conformity_rate", 6).alias("conformity_rate"))
+
+
+# --- the report's rules one by one -------------------------------------------
+
+
+def _rule_query(name, rows_sql, failures, severity, column, report, rule=None):
+    """One rule of a report with its failures and conformity."""
+
+    @query(
+        name,
+        f"SELECT '{column}' AS \"column\", '{severity}' AS severity, CAST({failures} AS BIGINT) AS failures,"
+        f" count(*) AS rows_tested, round(1 - {failures} / count(*), 6) AS conformity_rate FROM {rows_sql}",
+    )
+    def run(t):
+        found = report(t).where((F.col("rule") == (rule or name)) & (F.col("column") == column))
+        return found.select(
+            "column", "severity", "failures", "rows_tested", rounded("conformity_rate", 6).alias("conformity_rate")
+        )
+
+
+_SALES = (
+    "(SELECT l_orderkey AS id, nullif(l_suppkey, 1) AS c, l_extendedprice - 5000 AS v, CAST(l_quantity - 3 AS BIGINT) AS q,"
+    " l_returnflag AS f FROM lineitem)"
+)
+
+
+def _sales(name, failures, severity, column, rule=None):
+    _rule_query(name, _SALES, failures, severity, column, contract_report, rule)
+
+
+_sales("schema_missing_columns", "1", "ERROR", "canal")
+_sales("schema_extra_columns", "1", "WARNING", "l_tax")
+_sales("not_null_rule", "count(*) FILTER (c IS NULL)", "ERROR", "cliente_id", "not_null")
+_sales("business_positive_value", "count(*) FILTER (NOT v > 0)", "ERROR", "valor_total")
+_sales("business_min_quantity", "count(*) FILTER (NOT q >= 1)", "ERROR", "quantidade")
+_sales("business_valid_payment", "count(*) FILTER (f <> 'A')", "ERROR", "metodo_pagto")
+_sales("unique_id_warning", "(count(id) - count(DISTINCT id))", "WARNING", "id", "unique_id")
+
+
+def _customers(name, failures, column):
+    _rule_query(name, "customer", f"count(*) FILTER ({failures})", "ERROR", column, contract_report_customers)
+
+
+_customers("business_email_format", "c_mktsegment = 'BUILDING'", "email")
+_customers("business_state_length", "c_nationkey < 10", "estado")
+_customers("business_valid_status", "c_acctbal < 0", "status")
+
+
+@query(
+    "raise_on_failure",
+    """
+    SELECT message FROM (VALUES ('business_email_format(email), business_state_length(estado), business_valid_status(status)')) m(message)
+    WHERE (SELECT count(*) FROM customer WHERE c_mktsegment = 'BUILDING') > 0
+    """,
+)
+def raise_on_failure(t):
+    """The message a failed report raises."""
+    try:
+        validate_table(_customer_rows(t), {"clientes": CUSTOMERS}, "clientes").raise_on_failure()
+        message = None
+    except ReportFailed as failure:
+        message = str(failure)
+    return t.spark.createDataFrame([(message,)], "message string").where("message is not null")
