@@ -196,10 +196,13 @@ def natural_join_dedup(t):
 
 @query(
     "flag_duplicates_in_batch",
-    "SELECT doc_id, text IS NOT NULL AND row_number() OVER (PARTITION BY text ORDER BY doc_id) > 1 AS repeated FROM documents",
+    "SELECT doc_id, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) > 1 AS repeated FROM documents",
 )
 def flag_duplicates(t):
-    return flag_duplicates_in_batch(t.documents, "text", ["doc_id"], "repeated").select("doc_id", "repeated")
+    """Repeated texts by their hash, so that no text is shuffled."""
+    rows = t.documents.select("doc_id", F.sha2("text", 256).alias("text_hash"))
+    flagged = flag_duplicates_in_batch(rows, "text_hash", ["doc_id"], "repeated")
+    return flagged.select("doc_id", "repeated")
 
 
 _LAG = (

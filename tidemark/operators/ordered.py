@@ -5,9 +5,9 @@ rows decides the run time. Here a sorted group is cut into ranges: the cut point
 come from a bounded sample and are literals in the plan, so a row's range depends
 on the row alone, and a recomputed task puts it into the same range again.
 
-Groups are contiguous in sort order, so at most one (group, range) pair per cut
-point continues a group of an earlier range. The table that carries a value over
-the cuts therefore has at most as many rows as there are cuts, and is broadcast.
+Groups are contiguous in sort order, so the only row outside a range that a row in
+it can need is the outermost one of the nearest range with rows. The table that
+carries values over the cuts therefore has one row per range, and is broadcast.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.rules import all_of
+
 SAMPLES_PER_RANGE = 20
 MAX_SAMPLE = 100_000
 
@@ -101,23 +103,18 @@ def with_neighbour(
     near = cells.withColumn("_near", step("_value").over(inner))
 
     if cuts:
+        # The outermost row of each range: one row per range, whatever the groups.
         pick = F.min_by if ahead else F.max_by
-        edges = cells.groupBy(*group, "_range").agg(
-            pick("_value", F.struct(*order)).alias("_edge")
+        edges = cells.groupBy("_range").agg(
+            pick(F.struct(*group, "_value"), _sort_key(keys)).alias("_edge")
         )
-        over = Window.partitionBy(*group).orderBy("_range")
-        edges = edges.withColumn("_far", step("_edge").over(over)).where("_far is not null")
-        edges = edges.select(
-            *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)],
-            F.col("_range").alias("_r"),
-            "_far",
+        beside = step("_edge").over(Window.orderBy("_range"))
+        edges = edges.select(F.col("_range").alias("_at"), beside.alias("_far"))
+        near = near.join(F.broadcast(edges), near["_range"] == edges["_at"], "left")
+        same_group = all_of(F.col(c).eqNullSafe(F.col("_far")[c]) for c in group)
+        near = near.withColumn(
+            "_near", F.coalesce("_near", F.when(same_group, F.col("_far")["_value"]))
         )
-        # At most one row per cut point, see the module text.
-        match = near["_range"] == edges["_r"]
-        for i, c in enumerate(group):
-            match = match & near[c].eqNullSafe(edges[f"_g{i}"])
-        near = near.join(F.broadcast(edges), match, "left")
-        near = near.withColumn("_near", F.coalesce("_near", "_far"))
 
     return near.select(
         *df.columns,

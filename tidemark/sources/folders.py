@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``.
 
@@ -19,9 +22,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

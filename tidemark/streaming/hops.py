@@ -72,9 +72,12 @@ def silver_batch(
         checked = checked.drop(FILE, POSITION).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid, invalid = split_valid_invalid(checked)
-            if not invalid.isEmpty():
+            # One pass fills the cache and tells which outputs there are.
+            n_reasons = F.size("_reasons")
+            found = checked.agg(F.min(n_reasons).alias("least"), F.max(n_reasons).alias("most")).first()
+            if found["most"] > 0:
                 write_batch(invalid, quarantine_path, batch_id, generation, extra)
-            if not valid.isEmpty():
+            if found["least"] == 0:
                 typed = apply_contract_types(valid, contract)
                 write_batch(typed, silver_path, batch_id, generation, extra)
         finally:
