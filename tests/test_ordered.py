@@ -169,7 +169,7 @@ def test_unknown_gap_rule_is_an_error(spark):
 
 
 @pytest.mark.parametrize("max_rows", [0, 1000])
-@pytest.mark.parametrize("heavy", [1, 3])
+@pytest.mark.parametrize("heavy", [1, 4, 50])
 def test_lookup_join_equals_a_plain_left_join(spark, max_rows, heavy):
     rows = hot_rows()
     left = spark.createDataFrame([(r[0], r[1], r[2]) for r in rows], "id int, k string, o int")

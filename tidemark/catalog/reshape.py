@@ -107,6 +107,21 @@ def datamart_heavy_keys(t):
     )
 
 
+@query(
+    "lookup_join_hot_key",
+    """
+    WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 7 ELSE nullif(o_custkey, 8) END AS c_custkey FROM orders)
+    SELECT o_orderkey, c_custkey, c_name, c_mktsegment FROM o LEFT JOIN customer USING (c_custkey)
+    """,
+)
+def lookup_join_hot_key(t):
+    """A third of the orders share a customer and some have none; no broadcast of the whole."""
+    key = F.when(F.col("o_orderstatus") == "O", 7).otherwise(F.nullif("o_custkey", F.lit(8)))
+    orders = t.orders.select("o_orderkey", key.cast("bigint").alias("c_custkey"))
+    customers = t.customer.select("c_custkey", "c_name", "c_mktsegment")
+    return j.lookup_join(orders, customers, ["c_custkey"], max_broadcast_rows=0)
+
+
 @query(
     "full_outer_compare_join",
     """

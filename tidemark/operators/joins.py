@@ -48,23 +48,26 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a table that has one row per key, safe for hot keys.
 
-    A small right side is broadcast after its size was checked. Otherwise the
-    ``heavy_keys`` most frequent keys of the left side are looked up in a broadcast
-    of that many rows, and their rows, like rows without a key, are not shuffled at
-    all. Any key left for the shuffle holds at most 1/``heavy_keys`` of the rows.
+    A small right side is broadcast after its size was checked. Otherwise keys that
+    hold more than 1/``heavy_keys`` of the left rows are found by a count; there are
+    fewer than ``heavy_keys`` of them. Their rows, and rows without a key, are looked
+    up in a broadcast of these keys and never shuffled; the rest joins as usual.
     """
     keys = list(keys)
     if is_small(right, max_broadcast_rows):
         return left.join(F.broadcast(right), keys, "left")
 
-    extra = [c for c in right.columns if c not in keys]
     keyless = any_of(is_missing(k) for k in keys)
-    counts = left.where(~keyless).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = counts.orderBy(F.desc("_n"), *keys).limit(heavy_keys).select(*keys)
-    # One row per key on the right: found and heavy have at most ``heavy_keys`` rows.
-    found = right.join(F.broadcast(heavy), keys, "left_semi").withColumn(
-        "_match", F.struct(*extra)
-    )
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = left.count()
+    heavy = counts.where(F.col("_n") * heavy_keys > total).select(*keys).collect()
+    if not heavy:
+        return left.join(right, keys, "left")
+
+    extra = [c for c in right.columns if c not in keys]
+    heavy = left.sparkSession.createDataFrame(heavy, left.select(*keys).schema)
+    # One row per key on the right, so this has fewer than ``heavy_keys`` rows too.
+    found = right.join(F.broadcast(heavy), keys, "left_semi").withColumn("_match", F.struct(*extra))
     heavy = heavy.join(F.broadcast(found.select(*keys, "_match")), keys, "left").withColumn(
         "_is_heavy", F.lit(True)
     )
