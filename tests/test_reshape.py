@@ -26,6 +26,7 @@ def test_pivot(spark):
     assert values == ["red", "blue"]
     assert r.get_column_values(df, "color", max_records=1) == ["red"]
     assert r.get_column_values(df, "color", where="size = 'M'") == ["red"]
+    assert r.get_column_values(df, "color", order_by=F.min("size"), descending=False) == ["red", "blue"]
     assert r.get_column_values(None, "color", default=["x"]) == ["x"]
 
 
@@ -95,6 +96,7 @@ def test_columns(spark):
     df = spark.createDataFrame([(1, "", "x")], "Id int, a string, b string")
     assert r.get_filtered_columns_in_relation(df, ["ID"]) == ["a", "b"]
     assert df.select(*r.star(df, ["a"], "p_", "_s")).columns == ["p_Id_s", "p_b_s"]
+    assert df.alias("x").select(*r.star(df, ["id"], relation_alias="x")).columns == ["a", "b"]
     assert tuples(r.nullcheck_table(df)) == [(1, None, "x")]
     assert tuples(r.rename_project(df, {"Id": "key"})) == [(1,)]
     kept = only(r.nullcheck_table(df), rules.row_is_counted(["a", "b"], "any_value_is_missing"))

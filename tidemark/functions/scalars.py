@@ -74,7 +74,7 @@ def haversine_distance(
     half_dphi = (phi2 - phi1) / 2
     half_dlambda = (degrees_to_radians(lon2) - degrees_to_radians(lon1)) / 2
     chord = F.pow(F.sin(half_dphi), 2) + F.cos(phi1) * F.cos(phi2) * F.pow(F.sin(half_dlambda), 2)
-    return F.lit(2.0 * EARTH_RADIUS_MILES * factors[unit]) * F.asin(F.sqrt(chord))
+    return F.lit(2.0 * EARTH_RADIUS_MILES * factors[unit]) * F.asin(F.least(F.sqrt(chord), F.lit(1.0)))
 
 
 def log_natural(value: ColumnLike) -> Column:

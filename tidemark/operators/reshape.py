@@ -23,11 +23,16 @@ def get_filtered_columns_in_relation(df: DataFrame, except_: Sequence[str] = ())
 
 
 def star(
-    df: DataFrame, except_: Sequence[str] = (), prefix: str = "", suffix: str = ""
+    df: DataFrame,
+    except_: Sequence[str] = (),
+    prefix: str = "",
+    suffix: str = "",
+    relation_alias: str = "",
 ) -> list[Column]:
     """All columns but some, renamed with a prefix and suffix; for use in a select."""
     names = get_filtered_columns_in_relation(df, except_)
-    return [F.col(f"`{c}`").alias(f"{prefix}{c}{suffix}") for c in names]
+    owner = f"{relation_alias}." if relation_alias else ""
+    return [F.col(f"{owner}`{c}`").alias(f"{prefix}{c}{suffix}") for c in names]
 
 
 def rename_project(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
@@ -135,6 +140,8 @@ def get_column_values(
     max_records: int | None = None,
     default: Sequence | None = None,
     where: str | None = None,
+    order_by: Column | None = None,
+    descending: bool = True,
 ) -> list:
     """Distinct values, most frequent first, equal counts by value; for pivot lists.
 
@@ -143,20 +150,30 @@ def get_column_values(
     if df is None:
         return list(default or [])
     limit = MAX_LISTED + 1 if max_records is None else max_records
-    values = [r[0] for r in column_value_counts(df, column, limit, where).collect()]
+    counts = column_value_counts(df, column, limit, where, order_by, descending)
+    values = [r[0] for r in counts.collect()]
     if max_records is None and len(values) > MAX_LISTED:
         raise ValueError(f"{column} has more than {MAX_LISTED} values; give max_records")
     return values
 
 
 def column_value_counts(
-    df: DataFrame, column: str, max_records: int | None = None, where: str | None = None
+    df: DataFrame,
+    column: str,
+    max_records: int | None = None,
+    where: str | None = None,
+    order_by: Column | None = None,
+    descending: bool = True,
 ) -> DataFrame:
-    """Distinct values with their counts, most frequent first."""
+    """Distinct values with their counts, ordered by count or another aggregate."""
     if where:
         df = df.where(where)
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    counts = counts.orderBy(F.desc("n_rows"), F.asc(column))
+    rows = F.count(F.lit(1))
+    counts = df.groupBy(column).agg(
+        rows.alias("n_rows"), (rows if order_by is None else order_by).alias("_order")
+    )
+    first = F.desc("_order") if descending else F.asc("_order")
+    counts = counts.orderBy(first, F.asc(column)).drop("_order")
     return counts if max_records is None else counts.limit(max_records)
 
 
