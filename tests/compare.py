@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import decimal
 import math
 import sys
 import time
@@ -23,17 +22,12 @@ def database(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def plain(value):
-    if isinstance(value, decimal.Decimal):
-        value = float(value)
+    """Value with its type; doubles must agree to the last bit."""
+    if isinstance(value, float) and math.isnan(value):
+        return "float:nan"
     if isinstance(value, float):
-        if math.isnan(value):
-            return "nan"
-        return repr(round(value, 6) + 0.0)
-    if isinstance(value, bool) or value is None:
-        return repr(value)
-    if isinstance(value, int):
-        return repr(float(value))
-    return f"{type(value).__name__}:{value}"
+        value += 0.0
+    return f"{type(value).__name__}:{value!r}"
 
 
 def rows_of(names, rows) -> Counter:

@@ -205,8 +205,9 @@ def deduplicate(t):
     "SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text",
 )
 def natural_join_dedup(t):
-    """One document per exact text, rows with nulls kept."""
-    return r.deduplicate(t.documents.select("doc_id", "text"), ["text"], ["doc_id"])
+    """One document per text, told apart by its hash so that no long key is sorted."""
+    hashed = t.documents.select("doc_id", "text", F.sha2("text", 256).alias("text_hash"))
+    return r.deduplicate(hashed, ["text_hash"], ["doc_id"]).drop("text_hash")
 
 
 @query(
@@ -559,20 +560,19 @@ def _views(t, names):
 )
 def union_by_pattern(t):
     _views(t, ["orders", "customer", "nation"])
-    tables = r.get_relations_by_pattern(t.spark, "%", "TMK\\_%".replace("\\", ""), "tmk_nat%")
+    tables = r.get_relations_by_pattern(t.spark, "%", "TMK_%", "tmk_nat%")
     tables = {n: tables[n] for n in sorted(tables, reverse=True) if n in ("tmk_orders", "tmk_customer")}
     return r.union_relations(tables, include=["o_orderkey", "c_name"])
 
 
 @query(
     "union_by_prefix",
-    "SELECT 'tmk_nation' AS _source_relation, n_nationkey AS n_nationkey, n_name FROM nation",
+    "SELECT 'tmk_lineitem' AS _source_relation, l_orderkey, l_linenumber FROM lineitem",
 )
 def union_by_prefix(t):
-    _views(t, ["nation"])
-    return r.union_relations(
-        r.get_relations_by_prefix(t.spark, "%", "tmk_nation"), exclude=["n_regionkey"]
-    )
+    _views(t, ["lineitem"])
+    tables = r.get_relations_by_prefix(t.spark, "%", "TMK_line")
+    return r.union_relations(tables, include=["l_orderkey", "l_linenumber"])
 
 
 @query(
