@@ -94,6 +94,7 @@ def expect_column_values_to_be_of_type(df: DataFrame, column: str, column_type:
 
 # --- row counts --------------------------------------------------------------
 
+
 def expect_table_row_count_to_be_between(
     df: DataFrame,
     min_value: int | None = None,
