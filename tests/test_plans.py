@@ -2,10 +2,8 @@
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from tidemark.operators import expect_values as ev
 from tidemark.operators import joins as j
 from tidemark.operators import reshape as r
@@ -76,15 +74,3 @@ def test_large_sides_are_not_broadcast_whole(spark):
         assert not [line for line in tail.splitlines()[1:] if line.strip()][0].lstrip(" :+-").startswith("Relation")
     assert joined.count() == left.count()
     assert joined.where("o_custkey = 7 and c_name is null").count() == 0
-
-
-@pytest.mark.parametrize("name", sorted(queries()))
-def test_no_query_multiplies_tables_or_leaves_the_engine(spark, name):
-    if queries()[name].__module__ == "tidemark.catalog.layers":
-        pytest.skip("writes its layers first; the plan read back is a scan")
-    text = plan(queries()[name](spark, FOLDER))
-    assert "CartesianProduct" not in text
-    assert not re.search(r"\b(BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups)", text)
-    for nested in re.findall(r"BroadcastNestedLoopJoin.*", text):
-        # Only one-row aggregates are joined without a key.
-        assert "Inner" in nested or "Cross" in nested

@@ -54,17 +54,18 @@ def lookup_join(
     up in a broadcast of these keys and never shuffled; the rest joins as usual.
     """
     keys = list(keys)
+    extra = [c for c in right.columns if c not in keys]
+    columns = [*left.columns, *extra]
     if is_small(right, max_broadcast_rows):
-        return left.join(F.broadcast(right), keys, "left")
+        return left.join(F.broadcast(right), keys, "left").select(*columns)
 
     keyless = any_of(is_missing(k) for k in keys)
     counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = left.count()
     heavy = counts.where(F.col("_n") * heavy_keys > total).select(*keys).collect()
     if not heavy:
-        return left.join(right, keys, "left")
+        return left.join(right, keys, "left").select(*columns)
 
-    extra = [c for c in right.columns if c not in keys]
     heavy = left.sparkSession.createDataFrame(heavy, left.select(*keys).schema)
     # One row per key on the right, so this has fewer than ``heavy_keys`` rows too.
     found = right.join(F.broadcast(heavy), keys, "left_semi").withColumn("_match", F.struct(*extra))
@@ -75,7 +76,7 @@ def lookup_join(
     settled = F.coalesce("_is_heavy", F.lit(False)) | keyless
     near = marked.where(settled).select(*left.columns, *[F.col("_match")[c].alias(c) for c in extra])
     far = marked.where(~settled).select(*left.columns).join(right, keys, "left")
-    return near.unionByName(far)
+    return near.unionByName(far).select(*columns)
 
 
 def key_counts(df: DataFrame, columns: Sequence[str], into: str = "failing_rows") -> DataFrame:
