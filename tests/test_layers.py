@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import jobs
 from tidemark.plans import models, quality
 from tidemark.plans.report import ReportFailed, validate_table
 from tidemark.sources import layers as ly
@@ -240,6 +241,29 @@ def test_hops_are_incremental_and_repeatable(lake):
     assert lake.table("warehouse").count() == 5
 
 
+def test_jobs_run_the_hops_over_a_lake(spark, tmp_path):
+    lake, contracts = str(tmp_path / "lake"), tmp_path / "contracts"
+    contracts.mkdir()
+    (contracts / "clientes.json").write_text(json.dumps(CLIENTES), encoding="utf-8")
+
+    def job(*words):
+        return jobs.run(spark, jobs.parser().parse_args([*words, "--datalake", lake, "--table", "clientes"]))
+
+    steps = [
+        ("raw-to-bronze", "--execution_date", "2024-05-01", "--archive"),
+        ("bronze-to-silver", "--contracts", str(contracts)),
+        ("silver-to-warehouse", "--run_id", "r1"),
+    ]
+    assert [job(*s) for s in steps] == [False, False, False]
+    raw(spark, ROWS).drop("line").coalesce(1).write.option("header", True).csv(f"{lake}/raw/clientes")
+    for _ in range(2):
+        assert [job(*s) for s in steps] == [True, True, True]
+    counts = [spark.read.parquet(f"{lake}/{layer}/clientes").count() for layer in ("bronze", "silver", "quarantine", "warehouse")]
+    assert counts == [8, 3, 5, 3]
+    with pytest.raises(SystemExit):
+        jobs.parser().parse_args(["raw-to-bronze", "--table", "clientes"])
+
+
 def test_a_repeated_batch_leaves_one_result(spark, lake):
     sink = hops.silver_batch(CONTRACT, lake.path("silver"), lake.path("quarantine"))
     batch = raw(spark, ROWS).select(
