@@ -13,6 +13,7 @@ from ..operators.core import equal_expression
 from ..operators.expect_aggregates import nth_most_common
 from ..operators.ordered import exact_quantile, with_neighbour
 from ..plans import models
+from ..plans.build import silver_tests
 from ..plans.quality import flag_duplicates_in_batch
 from .registry import query, rounded, text
 
@@ -71,6 +72,26 @@ def latest_per_key(t):
     return sales.withColumn("data_venda", text("data_venda"))
 
 
+@query(
+    "silver_model_tests",
+    """
+    WITH f AS (
+      SELECT 'customer_id_unique' AS "check", 0 AS failures UNION ALL SELECT 'customer_id_not_null', 0 UNION ALL
+      SELECT 'customer_email_unique', (SELECT count(*) FROM (SELECT 1 FROM customer WHERE c_acctbal >= 0 GROUP BY c_mktsegment HAVING count(*) > 1)) UNION ALL
+      SELECT 'customer_email_not_null', 0 UNION ALL SELECT 'customer_status_accepted', 0 UNION ALL
+      SELECT 'sale_id_unique', 0 UNION ALL SELECT 'sale_id_not_null', 0 UNION ALL SELECT 'sale_customer_not_null', 0 UNION ALL
+      SELECT 'sale_customer_exists', (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)))
+    SELECT "check", failures, CASE WHEN failures = 0 THEN 'pass' ELSE 'error' END AS status FROM f
+    """,
+)
+def silver_model_tests(t):
+    """Tests of the silver models; customers in debt are left out, so their sales are orphans."""
+    wealthy = t.customer.where("c_acctbal >= 0").select(F.col("c_custkey").alias("id"))
+    customers = models.silver_customers(bronze_customers(t).join(wealthy, "id", "left_semi"))
+    return silver_tests(customers, models.silver_sales(bronze_sales(t)))
+
+
 def datamart(t):
     sales = models.silver_sales(bronze_sales(t))
     customers = models.silver_customers(bronze_customers(t))
