@@ -96,3 +96,40 @@ def op5_karmarkar_karp(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+WORDS6 = r"regexp_extract_all(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00]', ' ', 'g'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LEAKS_SQL = f"""
+WITH d AS (SELECT doc_id, {WORDS6} AS ws FROM documents),
+b AS (SELECT item_id, {WORDS6} AS ws FROM benchmark),
+passages AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n, list_slice(ws, p, p + least(len(ws), 10) - 1) AS body
+  FROM b, LATERAL (SELECT unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS p) WHERE len(ws) > 0
+), found AS (
+  SELECT doc_id, p, n, body FROM (
+    SELECT doc_id, n, unnest(list_transform(range(1, len(ws) - n + 2), lambda p: {{'p': p, 'body': list_slice(ws, p, p + n - 1)}}), recursive := true)
+    FROM d, (SELECT DISTINCT n FROM passages) WHERE len(ws) >= n
+  )
+), hits AS (
+  SELECT doc_id, p, n, item_id FROM found JOIN passages USING (n, body)
+), counts AS (
+  SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS w FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, list_sort(list_distinct(list(CAST(item_id AS VARCHAR)))) AS ids FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query(LEAKS_SQL)
+def op6_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    from .winnowing import find_passages
+
+    marked = find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=10)
+    listed = F.array_join("items", ",")
+    return marked.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), "contaminated"
+    )
