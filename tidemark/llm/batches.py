@@ -97,16 +97,17 @@ class Words:
     def row(self) -> np.ndarray:
         return np.repeat(np.arange(self.rows), self.counts)
 
-    def prefix(self) -> tuple[np.ndarray, np.ndarray]:
-        """Running sums from which ``spans`` hashes any stretch of bytes."""
-        forward, back = _powers(len(self.raw) + 1)
-        sums = np.zeros(len(self.raw) + 1, np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum(_BYTE[self.raw] * forward[: len(self.raw)], out=sums[1:])
-        return sums, back
-
     def hashes(self) -> np.ndarray:
-        return spans(*self.prefix(), self.starts, self.ends)
+        return spans(*byte_sums(self.raw), self.starts, self.ends)
+
+
+def byte_sums(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums from which ``spans`` hashes any stretch of bytes."""
+    forward, back = _powers(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(_BYTE[raw] * forward[: len(raw)], out=sums[1:])
+    return sums, back
 
 
 def spans(sums: np.ndarray, back: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -133,3 +133,13 @@ def op6_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return marked.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"), "contaminated"
     )
+
+
+@query()
+def op10_pretoken_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_counts import count_tokens
+
+    counted = count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
