@@ -143,3 +143,14 @@ def op10_pretoken_counts(spark: SparkSession, folder: str) -> DataFrame:
 
     counted = count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query()
+def op1_subword_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from .lattice import lattice_scores
+
+    rest = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(7))
+    scored = lattice_scores(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), rest != 2)
+    return scored.select("doc_id", (rest == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
