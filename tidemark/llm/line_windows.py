@@ -2,26 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import closed, column, opened, text_key
 
 
-def window_keys(lines: Column, length: int) -> Column:
-    """Position and two 64-bit hashes of every window of consecutive lines."""
-    hashes = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit("line"), x).alias("b")))
-
-    def window(first: Column) -> Column:
-        inside = [F.element_at(hashes, (first + i + 1).cast("int")) for i in range(length)]
-        return F.struct(
-            first.alias("pos"),
-            F.xxhash64(*[x["a"] for x in inside]).alias("a"),
-            F.xxhash64(*[x["b"] for x in inside]).alias("b"),
-        )
-
-    last = F.size(lines) - length
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), window))
+def line_windows(named: DataFrame, length: int) -> DataFrame:
+    """``(id, key, pos, a, b)``: place and two 64-bit hashes of every window of consecutive lines."""
+    hashed = F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit("line"), x).alias("b")))
+    hashed = named.select("id", "key", hashed.alias("hashes")).filter(F.size("hashes") >= length)
+    # The lines beside themselves, shifted: each window is one element.
+    shifted = [F.slice("hashes", i + 1, F.size("hashes") - (length - 1)).alias(f"line{i}") for i in range(length)]
+    exploded = hashed.select("id", "key", *shifted).select("id", "key", F.posexplode(F.arrays_zip(*[f"line{i}" for i in range(length)])).alias("pos", "w"))
+    both = [F.xxhash64(*[F.col(f"w.line{i}.{part}") for i in range(length)]).alias(part) for part in ("a", "b")]
+    return exploded.select("id", "key", "pos", *both)
 
 
 def remove_repeated_windows(
@@ -41,7 +36,7 @@ def remove_repeated_windows(
     joined by window and summed up per document.
     """
     named = docs.select(column(doc_id).alias("id"), text_key(column(text)).alias("key"), F.split(column(text), "\n", -1).alias("lines"))
-    windows = named.select("id", "key", F.explode(window_keys(F.col("lines"), length)).alias("w")).select("id", "key", "w.*")
+    windows = line_windows(named, length)
     place = F.struct("id", "key", "pos")
     repeated = (
         windows.groupBy("a", "b")
