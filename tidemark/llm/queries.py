@@ -154,3 +154,12 @@ def op1_subword_lattice(spark: SparkSession, folder: str) -> DataFrame:
     rest = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(7))
     scored = lattice_scores(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), rest != 2)
     return scored.select("doc_id", (rest == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query()
+def op7_subword_bags(spark: SparkSession, folder: str) -> DataFrame:
+    from .toxicity import toxicity_scores
+
+    rest = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5))
+    scored = toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), rest != 0)
+    return scored.select("doc_id", (rest == 0).alias("held_out"), F.col("toxic_score").alias("score"), F.col("toxic").alias("predicted"))
