@@ -163,3 +163,12 @@ def op7_subword_bags(spark: SparkSession, folder: str) -> DataFrame:
     rest = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5))
     scored = toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), rest != 0)
     return scored.select("doc_id", (rest == 0).alias("held_out"), F.col("toxic_score").alias("score"), F.col("toxic").alias("predicted"))
+
+
+@query()
+def op8_line_labels(spark: SparkSession, folder: str) -> DataFrame:
+    from .line_labels import label_lines
+
+    marked = label_lines(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return marked.select("doc_id", *counts, "base_failed", "kept", "content_share")
