@@ -172,3 +172,39 @@ def op8_line_labels(spark: SparkSession, folder: str) -> DataFrame:
     marked = label_lines(table(spark, folder, "documents"), table(spark, folder, "labels"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return marked.select("doc_id", *counts, "base_failed", "kept", "content_share")
+
+
+PROBE = "</s>[INST] ok [/INST]"
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sizes AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|\[ANSWER\]|\[ROLE\]|\[TEXT\]|\[/TEXT\]|\\')) AS size FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 12 WHEN 'system' THEN 15 ELSE length(role) + 19 END) AS BIGINT) AS formatted_chars
+FROM sizes GROUP BY conv_id
+"""
+
+
+@query(CHAT_SQL)
+def op9_chat_templates(spark: SparkSession, folder: str) -> DataFrame:
+    from .chat import format_conversations, read_back
+
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], turns.schema)
+    read = read_back(format_conversations(turns.unionByName(probe)))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(lines, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
