@@ -208,3 +208,11 @@ def op9_chat_templates(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query()
+def op4_partenum(spark: SparkSession, folder: str) -> DataFrame:
+    from .similar import similar_documents
+
+    found = similar_documents(table(spark, folder, "documents"), shingle=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")

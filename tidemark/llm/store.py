@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,3 +77,42 @@ def looked_up(rows: DataFrame, table: DataFrame, key: str, spread: Column) -> Da
 def text_key(text: Column) -> Column:
     """128 bits that stand for a text; null and empty texts are equal."""
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def by_text(docs: DataFrame, marks: DataFrame, text: str, **added: Column) -> DataFrame:
+    """Rows of documents with the marks of their text's ``key``, a row each, as new columns.
+
+    The marks are stored first: then the join is between two plain scans, and Spark can
+    split the rows of a hot text.
+    """
+    marks = stored(marks.withColumnRenamed("key", "marked_text"), "marks")
+    rows = opened(docs, text_of_row=text_key(column(text)))
+    return closed(rows.join(marks, rows["text_of_row"] == marks["marked_text"], "left"), docs.columns, **added)
+
+
+class BitMap:
+    """A broadcast set of 64-bit numbers, of fixed size; some others seem to be in it too."""
+
+    BITS = 26
+
+    def __init__(self, bits):
+        self.bits = bits  # a broadcast
+
+    def has(self, number: int) -> bool:
+        spot = (number & (2**64 - 1)) >> (64 - self.BITS)
+        return bool(self.bits.value[spot >> 3] >> (spot & 7) & 1)
+
+    def have(self, numbers: np.ndarray) -> np.ndarray:
+        spot = numbers.view(np.uint64) >> np.uint64(64 - self.BITS)
+        return (self.bits.value[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def shared_map(numbers: DataFrame) -> BitMap:
+    """A bit map of the ``bits`` column; what it collects is bounded by the map's 8 MB."""
+    spot = F.shiftrightunsigned("bits", 64 - BitMap.BITS)
+    maps = numbers.select(F.floor(spot / 32768).cast("long").alias("bucket"), F.pmod(spot, F.lit(32768)).alias("spot"))
+    maps = maps.groupBy("bucket").agg(F.bitmap_construct_agg("spot").alias("bits"))
+    found = np.zeros(2**BitMap.BITS // 8, np.uint8)
+    for bucket, part in maps.collect():  # at most 2**BITS / 32768 rows of 4 kB
+        found[bucket * 4096 : (bucket + 1) * 4096] = np.frombuffer(part, np.uint8)
+    return BitMap(numbers.sparkSession.sparkContext.broadcast(found))
