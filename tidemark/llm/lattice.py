@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .batches import NOT_SPACE, Words, buffers, byte_sums, spans
 from .frequencies import HEAD, distinct_words, summed
-from .store import closed, column, opened, stored, text_key
+from .store import by_text, column, stored, text_key
 
 #: The word mark of the vocabulary, in UTF-8.
 MARK = "▁".encode()
@@ -211,16 +211,14 @@ def lattice_scores(
         "word", "n", (F.col("chosen") > 0).cast("double").alias("known"), F.log10(F.col("chosen") + 1.0).alias("base"), "lattice"
     )
     sums = summed(named, split, stored(valued, "likelihoods"), ["known", "base", "lattice"], head)
-    sums = sums.select(F.col("key").alias("scored"), "n_words", "known", "base", "lattice")
-    rows = opened(docs, key=text_key(column(text)))
-    rows = rows.join(sums, rows["key"] == sums["scored"], "left")
     n_tokens = F.col("n_words") + 1
     end = float(np.log10(ends + 1.0))
     base = F.col("base") + F.lit(end) - n_tokens * F.lit(float(np.log10(float(n + distinct + 1))))
     last = fitted_end(log_p.value)
-    return closed(
-        rows,
-        docs.columns,
+    return by_text(
+        docs,
+        sums,
+        text,
         n_tokens=n_tokens,
         n_known=(F.col("known") + F.lit(1 if ends else 0)).cast("long"),
         train_tokens=F.lit(n).cast("long"),

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import NOT_SPACE, Words, byte_sums, mix, per_row, sequences, slices, spans
-from .store import closed, column, opened, stored, text_key
+from .store import by_text, column, stored, text_key
 
 CONTENT, BOILERPLATE = 0, 1
 #: Labelled rows to learn from, at most, half of each label.
@@ -272,16 +272,14 @@ def label_lines(
             content = np.bincount(lines.line_row, weights=lines.line_words * (found == CONTENT), minlength=lines.rows).astype(np.int64)
             columns = [lines.n_words, lines.word_chars, lines.n_symbols, lines.n_dup_lines, lines.n_repeat_words, content]
             yield pa.RecordBatch.from_arrays(
-                [part.column("marked"), *[pa.array(c.astype(np.int64)) for c in columns], pa.ListArray.from_arrays(pa.array(lines.line_bounds.astype(np.int32)), pa.array(found))],
-                names=["marked", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "content_words", "labels"],
+                [part.column("key"), *[pa.array(c.astype(np.int64)) for c in columns], pa.ListArray.from_arrays(pa.array(lines.line_bounds.astype(np.int32)), pa.array(found))],
+                names=["key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "content_words", "labels"],
             )
 
-    texts = docs.select(text_key(column(text)).alias("marked"), column(text).cast("string").alias("text"))
-    marks = texts.mapInArrow(mark, f"marked binary, {MARKS}")
-    marks = marks.groupBy("marked").agg(*[F.max(c).alias(c) for c in marks.columns[1:]])
-    rows = opened(docs, key=text_key(column(text)))
-    rows = rows.join(marks, rows["key"] == marks["marked"], "left")
+    texts = docs.select(text_key(column(text)).alias("key"), column(text).cast("string").alias("text"))
+    marks = texts.mapInArrow(mark, f"key binary, {MARKS}")
+    marks = marks.groupBy("key").agg(*[F.max(c).alias(c) for c in marks.columns[1:]])
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     share = F.when(F.col("n_words") > 0, F.col("content_words") / F.col("n_words")).otherwise(0.0)
     counts = {c: F.col(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
-    return closed(rows, docs.columns, **counts, line_labels=F.col("labels"), content_share=share, base_failed=failed, kept=~failed & (share >= min_content))
+    return by_text(docs, marks, text, **counts, line_labels=F.col("labels"), content_share=share, base_failed=failed, kept=~failed & (share >= min_content))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import NOT_SPACE, Words, byte_sums, slices, spans
-from .store import closed, column, opened, stored, text_key
+from .store import by_text, column, stored, text_key
 
 #: Buckets of n-grams, as a power of two.
 BUCKET_BITS = 17
@@ -196,8 +196,6 @@ def toxicity_scores(
             kept = [part.column(i) for i in range(part.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(1 / (1 + np.exp(-np.clip(odds, -500, 500))))], names=[*part.schema.names[:-1], "score"])
 
-    texts = docs.select(text_key(column(text)).alias("scored"), column(text).cast("string").alias("text"))
-    scores = texts.mapInArrow(score, "scored binary, score double").groupBy("scored").agg(F.first("score").alias("score"))
-    rows = opened(docs, key=text_key(column(text)))
-    rows = rows.join(scores, rows["key"] == scores["scored"], "left")
-    return closed(rows, docs.columns, toxic_score=F.col("score"), toxic=(F.col("score") >= 0.5).cast("int"))
+    texts = docs.select(text_key(column(text)).alias("key"), column(text).cast("string").alias("text"))
+    scores = texts.mapInArrow(score, "key binary, score double").groupBy("key").agg(F.first("score").alias("score"))
+    return by_text(docs, scores, text, toxic_score=F.col("score"), toxic=(F.col("score") >= 0.5).cast("int"))
