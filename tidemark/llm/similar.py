@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .batches import NOT_SPACE, Words, mix, sequences, slices
 from .components import components
 from .partenum import signatures
-from .store import by_text, column, shared_map, stored, text_key
+from .store import by_text, closed, column, opened, shared_map, stored, text_key
 
 #: Signatures that a task gathers before it links those of one kind.
 GATHERED = 1 << 21
@@ -188,13 +188,35 @@ def similar_documents(
     not even each other. Null ids: reachable, but never the smallest unless alone, when
     the component is null. Repeated rows are in one component. Long texts: whole.
     """
-    profiles, links = similar_pairs(docs, shingle=shingle, percent=percent, text=text)
-    labels = components(links).select(F.col("node").alias("linked"), "component")
-    profiles = stored(
-        profiles.join(labels, profiles["node"] == labels["linked"], "left").select("key", "n_shingles", F.coalesce("component", "node").alias("component")), "profiles"
-    )
+    profiles = grouped(docs, shingle=shingle, percent=percent, text=text)
     named = docs.select(column(doc_id).alias("id"), text_key(column(text)).alias("key"))
     least = named.join(profiles.filter("component IS NOT NULL"), "key").groupBy("component").agg(F.min("id").alias("component_id"))
     marks = profiles.join(least, "component", "left").select("key", "n_shingles", "component_id", F.col("component").isNull().alias("alone"))
     own = F.col(f"in{docs.columns.index(doc_id)}")
     return by_text(docs, marks, text, n_shingles=F.col("n_shingles"), component_id=F.when(F.col("alone"), own).otherwise(F.col("component_id")))
+
+
+def grouped(docs: DataFrame, *, shingle: int, percent: int, text: str) -> DataFrame:
+    """``(key, n_shingles, component)`` per distinct text; without words it has no component."""
+    profiles, links = similar_pairs(docs, shingle=shingle, percent=percent, text=text)
+    labels = components(links).select(F.col("node").alias("linked"), "component")
+    joined = profiles.join(labels, profiles["node"] == labels["linked"], "left")
+    return stored(joined.select("key", "n_shingles", F.coalesce("component", "node").alias("component")), "profiles")
+
+
+def one_of_each(docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without near duplicates: of each group of linked ones the one of smallest id.
+
+    Links are those of ``similar_documents``. Texts without words all stay. A null id is
+    taken only where a group has no other; of repeated rows and equal ids one stays.
+    """
+    profiles = grouped(docs, shingle=shingle, percent=percent, text=text)
+    named = docs.select(column(doc_id).alias("id"), text_key(column(text)).alias("key"))
+    order = F.struct(F.col("id").isNull().alias("late"), "id", "key")
+    first = named.join(profiles.filter("component IS NOT NULL"), "key").groupBy("component").agg(F.min(order).alias("first"))
+    chosen = stored(first.select(F.col("first.id").alias("chosen_id"), F.col("first.key").alias("chosen_key")), "chosen")
+    wordless = profiles.filter("component IS NULL").select(F.col("key").alias("wordless_key"))
+    rows = opened(docs, id=column(doc_id), key=text_key(column(text)))
+    kept = rows.join(chosen, (rows["key"] == chosen["chosen_key"]) & rows["id"].eqNullSafe(chosen["chosen_id"]), "left_semi")
+    once = kept.dropDuplicates(["key", "id"]).unionByName(rows.join(wordless, rows["key"] == wordless["wordless_key"], "left_semi"))
+    return closed(once, docs.columns)
