@@ -81,13 +81,13 @@ def ledger(t):
 @query(
     "bronze_to_silver",
     f"""
-    SELECT o_orderkey AS id, CAST(NULL AS BIGINT) AS cliente_id, o_orderstatus AS status, o_orderpriority AS prioridade,
+    SELECT o_orderkey AS id, sha256(CAST(o_custkey AS VARCHAR)) AS cliente_id, o_orderstatus AS status, o_orderpriority AS prioridade,
       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS data_venda, '{INGESTED}' AS dt_ingest
     FROM orders WHERE o_orderstatus IN ('O', 'F') AND o_orderpriority <> '5-LOW'
     """,
 )
 def bronze_to_silver(t):
-    """Valid orders; the hashed key is text and no number any more, so its column is null."""
+    """Valid orders; a hashed number is text from then on."""
     root = new_folder(t.spark, "bronze-to-silver")
     _to_silver(t, root)
     silver = ly.current_rows(t.spark, f"{root}/silver", ["id"])
@@ -378,17 +378,55 @@ def batch_dedup(t):
 def warehouse_append(t):
     """Each batch is appended under its load number."""
     root = new_folder(t.spark, "warehouse-append")
+    _event_log(t, f"{root}/in")
     hops.silver_to_warehouse(
-        t.spark, _event_folder(t, root), f"{root}/checkpoint", hops.file_sink(f"{root}/out", ("event_type",)), "run-0001", 1
+        t.spark, f"{root}/in", f"{root}/checkpoint", hops.file_sink(f"{root}/out", ("event_type",)), "run-0001", 1
     )
     loaded = t.spark.read.parquet(f"{root}/out")
     loads = loaded.agg(F.count_distinct("load_batch").cast("int").alias("n_loads"))
     return _by_type(loaded).crossJoin(F.broadcast(loads))
 
 
-def _event_folder(t, root):
-    t.events.repartitionByRange(4, "event_id").write.parquet(f"{root}/in")
-    return f"{root}/in"
+def _event_log(t, path):
+    """All events as a log of four batches."""
+    for number in range(4):
+        ly.write_batch(t.events.where(F.col("event_id") % 4 == number), path, number)
+
+
+@query("warehouse_replaced_batch", _BY_TYPE)
+def warehouse_replaced_batch(t):
+    """A batch is loaded, written again with rows it lacked, and loaded again: each row is there once."""
+    root = new_folder(t.spark, "replaced-batch")
+    sink = hops.file_sink(f"{root}/warehouse", ())
+    late = F.col("event_type") == "purchase"
+    ly.write_batch(t.events.where(~late), f"{root}/silver", 0)
+    for _ in range(2):
+        hops.silver_to_warehouse(t.spark, f"{root}/silver", f"{root}/checkpoint", sink, "run-0001")
+        ly.write_batch(t.events, f"{root}/silver", 0)
+    hops.silver_to_warehouse(t.spark, f"{root}/silver", f"{root}/checkpoint", sink, "run-0002")
+    return _by_type(t.spark.read.parquet(f"{root}/warehouse"))
+
+
+@query(
+    "log_with_null_keys",
+    """
+    WITH o AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS k FROM orders),
+    kept AS (SELECT k, max(o_orderkey) AS last_order FROM o WHERE k IS NOT NULL GROUP BY 1
+      UNION ALL SELECT k, o_orderkey FROM o WHERE k IS NULL)
+    SELECT stage, k, last_order FROM kept, (VALUES ('log'), ('snapshot')) AS s(stage)
+    """,
+)
+def log_with_null_keys(t):
+    """Orders without a key are no versions of one another, before and after compaction."""
+    root = new_folder(t.spark, "null-keys")
+    keyed = t.orders.select(F.when(F.col("o_orderstatus") != "F", F.col("o_custkey")).alias("k"), "o_orderkey")
+    ly.write_batch(keyed.where("k is null").select("k", F.col("o_orderkey").alias("last_order")), f"{root}/log", 0)
+    ly.write_batch(keyed.where("k is not null").groupBy("k").agg(F.max("o_orderkey").alias("last_order")), f"{root}/log", 1)
+    ly.compact(t.spark, f"{root}/log", ["k"], f"{root}/snapshot", (0, 1))
+    plain = ly.current_rows(t.spark, f"{root}/log", ["k"])
+    on_top = ly.current_rows(t.spark, f"{root}/log", ["k"], f"{root}/snapshot", (0, 1))
+    stages = [rows.select(F.lit(stage).alias("stage"), "k", "last_order") for stage, rows in (("log", plain), ("snapshot", on_top))]
+    return stages[0].unionByName(stages[1])
 
 
 @query(

@@ -103,7 +103,7 @@ query("sales_datamart_left_join", DATAMART_SQL)(datamart)
 
 @query("sales_datamart_left_join_heavy_keys", DATAMART_SQL)
 def datamart_heavy_keys(t):
-    """The same join as if the customers were too many to broadcast."""
+    """The same join, both sides shuffled and sorted."""
     sales = models.silver_sales(bronze_sales(t))
     customers = models.silver_customers(bronze_customers(t)).select(
         "cliente_id",
@@ -112,7 +112,7 @@ def datamart_heavy_keys(t):
         F.col("estado").alias("cliente_estado"),
         F.col("cliente_id").alias("_found"),
     )
-    joined = j.lookup_join(sales, customers, ["cliente_id"], max_broadcast_rows=0)
+    joined = j.lookup_join(sales, customers.hint("merge"), ["cliente_id"])
     return joined.select(
         "venda_id",
         F.col("_found").alias("cliente_id"),
@@ -136,11 +136,11 @@ def datamart_heavy_keys(t):
     """,
 )
 def lookup_join_hot_key(t):
-    """A third of the orders share a customer and some have none; no broadcast of the whole."""
+    """A third of the orders share a customer and some have none; both sides are shuffled."""
     key = F.when(F.col("o_orderstatus") == "O", 7).otherwise(F.nullif("o_custkey", F.lit(8)))
     orders = t.orders.select("o_orderkey", key.cast("bigint").alias("c_custkey"))
     customers = t.customer.select("c_custkey", "c_name", "c_mktsegment")
-    return j.lookup_join(orders, customers, ["c_custkey"], max_broadcast_rows=0)
+    return j.lookup_join(orders, customers.hint("merge"), ["c_custkey"])
 
 
 @query(
@@ -528,10 +528,25 @@ def optional_grouping(t):
 
 @query(
     "get_column_values",
-    "SELECT lang, count(*) AS n_rows FROM documents GROUP BY 1 ORDER BY 2 DESC, 1",
+    """
+    SELECT o_orderkey FROM (SELECT o_orderkey, max(o_totalprice) AS price FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1)
+    ORDER BY price DESC, o_orderkey LIMIT 12000
+    """,
 )
 def get_column_values(t):
-    return r.column_value_counts(t.documents, "lang")
+    """The first values of a column of many, in the order of an aggregate."""
+    return r.get_column_values(
+        t.orders, "o_orderkey", max_records=12_000, where="o_orderstatus <> 'P'", order_by=F.max("o_totalprice")
+    )
+
+
+@query(
+    "column_value_counts",
+    "SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY 1",
+)
+def column_value_counts(t):
+    """All values with their counts, however many."""
+    return r.column_value_counts(t.lineitem, "l_orderkey")
 
 
 @query(

@@ -137,3 +137,27 @@ def recent(t):
 )
 def freshness(t):
     return e.source_freshness(t.events, "ts", "2024-01-31 13:00:00").select("age_seconds", "status")
+
+
+def _gaps(part: str, interval: int | None):
+    """Periods without a customer's first order; the first day lies inside its period."""
+    step = interval or 1
+    sql = f"""
+    WITH d AS (SELECT CAST(min(o_orderdate) AS TIMESTAMP) AS day FROM orders GROUP BY o_custkey),
+    x AS (SELECT date_trunc('{part}', min(day)) AS a, max(day) AS b FROM d),
+    s AS (SELECT unnest(generate_series(CAST(a AS TIMESTAMP), b, to_{part}s({step}))) AS p, b FROM x)
+    SELECT CAST(CAST(p AS DATE) AS VARCHAR) AS period, true AS is_missing, 0 AS row_cnt FROM s
+    WHERE p < b AND NOT EXISTS (SELECT 1 FROM d WHERE day >= p AND day < p + to_{part}s({step}))
+    """.replace("to_quarters(", "3 * to_months(")
+
+    def run(t):
+        first = t.orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("day"))
+        missing = e.expect_row_values_to_have_data_for_every_n_datepart(first, "day", part, interval)
+        return missing.select(F.to_date(f"date_{part}").cast("string").alias("period"), "is_missing", "row_cnt")
+
+    query(f"gaps_of_{step}_{part}", sql)(run)
+
+
+for _part in ("week", "month", "quarter", "year"):
+    for _interval in (None, 2):
+        _gaps(_part, _interval)

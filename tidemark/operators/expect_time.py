@@ -15,7 +15,7 @@ from ..functions.rules import violates
 from ..functions.scalars import metric_expression
 from .core import Condition, aggregate, only
 from .joins import compare_join
-from .reshape import date_spine, date_spine_of
+from .reshape import date_spine_of, spine_between
 
 
 def _at(as_of) -> Column:
@@ -120,16 +120,14 @@ def expect_row_values_to_have_data_for_every_n_datepart(
 ) -> DataFrame:
     """Periods of the spine that hold no row; the last period is not tested.
 
-    The spine starts on the day of the first row unless a start is given.
+    The spine starts with the period of the first row, or of the start given, and periods
+    of an interval are counted from there.
     """
     rows = only(df, row_condition)
     part = dates.check_part(date_part)
     day = F.to_date(date_column)
     if test_start_date is not None and test_end_date is not None:
-        spine = date_spine(df.sparkSession, part, test_start_date, test_end_date)
-        start = F.lit(test_start_date).cast("timestamp")
-        spine = spine.withColumn("_start", start)
-        rows = rows.withColumn("_start", start)
+        first = (test_start_date, test_end_date)
     else:
         # One row: the extremes of the column, or the given date.
         ends = rows.agg(
@@ -137,19 +135,16 @@ def expect_row_values_to_have_data_for_every_n_datepart(
             F.coalesce(F.lit(test_end_date).cast("timestamp"), F.max(day).cast("timestamp")).alias("_end"),
         )
         first = ends.first()
-        if first["_start"] is None:
-            first = {"_start": None, "_end": None}
-        spine = date_spine(df.sparkSession, part, first["_start"], first["_end"])
-        start = F.lit(first["_start"]).cast("timestamp")
-        spine = spine.withColumn("_start", start)
-        rows = rows.withColumn("_start", start)
+    start = dates.truncate(part, F.lit(first[0]).cast("timestamp"))
+    bounds = df.sparkSession.range(1).select(start.alias("_start"), F.lit(first[1]).cast("timestamp").alias("_end"))
+    spine = spine_between(bounds, part).withColumn("_start", start)
 
     name = f"date_{part}"
     period = dates.truncate(part, date_column)
     if interval:
         offset = dates.get_intervals_between("_start", name, part)
         spine = spine.where(offset % interval == 0)
-        past = dates.get_intervals_between("_start", date_column, part) % interval
+        past = dates.get_intervals_between(start, period, part) % interval
         period = dates.add_parts(period, part, -past)
     counts = rows.groupBy(period.alias(name)).agg(F.count(F.lit(1)).alias("row_cnt"))
     missing = spine.drop("_start").join(counts, name, "left_anti")

@@ -1,82 +1,25 @@
-"""Joins that hold up under hot keys, and broadcasts behind a size check."""
+"""Joins and key checks that hold up under hot keys."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..functions.rules import any_of, is_missing
-
-SMALL_ROWS = 200_000
-SMALL_BYTES = 64 * 1024 * 1024
-HEAVY_KEYS = 256
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Rough size of a row: text by its length, nested values by their JSON."""
-    size = F.lit(0).cast("bigint")
-    for field in df.schema.fields:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(column), F.lit(0))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
-        else:
-            size = size + 8
-    return size
-
-
-def is_small(
-    df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES
-) -> bool:
-    """True if the table is proven to fit a broadcast: counted and measured in one pass."""
-    measured = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes")
-    ).first()
-    return measured["rows"] <= max_rows and measured["bytes"] <= max_bytes
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    max_broadcast_rows: int = SMALL_ROWS,
-    heavy_keys: int = HEAVY_KEYS,
-) -> DataFrame:
-    """Left join to a table that has one row per key, safe for hot keys.
 
-    A small right side is broadcast after its size was checked. Otherwise keys that
-    hold more than 1/``heavy_keys`` of the left rows are found by a count; there are
-    fewer than ``heavy_keys`` of them. Their rows, and rows without a key, are looked
-    up in a broadcast of these keys and never shuffled; the rest joins as usual.
+
+def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join to a table that has one row per key.
+
+    It reads each side once. The runtime re-plans it from the sizes it has seen: a right
+    side below the broadcast threshold is broadcast, and a hot key's left rows, null keys
+    among them, are split over tasks. Other columns must not share names.
     """
     keys = list(keys)
     extra = [c for c in right.columns if c not in keys]
-    columns = [*left.columns, *extra]
-    if is_small(right, max_broadcast_rows):
-        return left.join(F.broadcast(right), keys, "left").select(*columns)
-
-    keyless = any_of(is_missing(k) for k in keys)
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = left.count()
-    heavy = counts.where(F.col("_n") * heavy_keys > total).select(*keys).collect()
-    if not heavy:
-        return left.join(right, keys, "left").select(*columns)
-
-    heavy = left.sparkSession.createDataFrame(heavy, left.select(*keys).schema)
-    # One row per key on the right, so this has fewer than ``heavy_keys`` rows too.
-    found = right.join(F.broadcast(heavy), keys, "left_semi").withColumn("_match", F.struct(*extra))
-    heavy = heavy.join(F.broadcast(found.select(*keys, "_match")), keys, "left").withColumn(
-        "_is_heavy", F.lit(True)
-    )
-    marked = left.join(F.broadcast(heavy), keys, "left")
-    settled = F.coalesce("_is_heavy", F.lit(False)) | keyless
-    near = marked.where(settled).select(*left.columns, *[F.col("_match")[c].alias(c) for c in extra])
-    far = marked.where(~settled).select(*left.columns).join(right, keys, "left")
-    return near.unionByName(far).select(*columns)
+    if shared := sorted({c.lower() for c in left.columns} & {c.lower() for c in extra}):
+        raise ValueError(f"columns of both sides: {', '.join(shared)}")
+    return left.join(right, keys, "left").select(*left.columns, *extra)
 
 
 def key_counts(df: DataFrame, columns: Sequence[str], into: str = "failing_rows") -> DataFrame:

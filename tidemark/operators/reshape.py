@@ -129,32 +129,34 @@ def get_relations_by_prefix(
     return {n: t for n, t in tables.items() if n.split(".")[-1].lower().startswith(escaped)}
 
 
-MAX_LISTED = 10_000
-
 # --- pivot and unpivot -------------------------------------------------------
 
 
 def get_column_values(
-    df: DataFrame | None,
+    df: DataFrame,
     column: str,
     max_records: int | None = None,
+    where: str | None = None,
+    order_by: Column | None = None,
+    descending: bool = True,
+) -> DataFrame:
+    """Distinct values, most frequent first, equal counts by value; all unless ``max_records``."""
+    return column_value_counts(df, column, max_records, where, order_by, descending).select(column)
+
+
+def listed_values(
+    df: DataFrame | None,
+    column: str,
+    max_records: int,
     default: Sequence | None = None,
     where: str | None = None,
     order_by: Column | None = None,
     descending: bool = True,
 ) -> list:
-    """Distinct values, most frequent first, equal counts by value; for pivot lists.
-
-    More than ``MAX_LISTED`` values are refused, not cut off: they are no column list.
-    """
+    """The first ``max_records`` values as a list on the driver, for a pivot's columns."""
     if df is None:
         return list(default or [])
-    limit = MAX_LISTED + 1 if max_records is None else max_records
-    counts = column_value_counts(df, column, limit, where, order_by, descending)
-    values = [r[0] for r in counts.collect()]
-    if max_records is None and len(values) > MAX_LISTED:
-        raise ValueError(f"{column} has more than {MAX_LISTED} values; give max_records")
-    return values
+    return [r[0] for r in get_column_values(df, column, max_records, where, order_by, descending).collect()]
 
 
 def column_value_counts(
@@ -281,7 +283,7 @@ def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
     return spark.range(1, upper_bound + 1).select(F.col("id").alias("generated_number"))
 
 
-def _spine(bounds: DataFrame, part: str) -> DataFrame:
+def spine_between(bounds: DataFrame, part: str) -> DataFrame:
     """Expand one row with ``_start`` and ``_end`` (exclusive) to a row per date part.
 
     Parts below a day are laid out day by day, so no array outgrows a day's parts.
@@ -311,7 +313,7 @@ def date_spine(spark: SparkSession, datepart: str, start_date, end_date) -> Data
         F.lit(start_date).cast("timestamp").alias("_start"),
         F.lit(end_date).cast("timestamp").alias("_end"),
     )
-    return _spine(bounds, datepart)
+    return spine_between(bounds, datepart)
 
 
 def date_spine_of(
@@ -322,7 +324,7 @@ def date_spine_of(
     bounds = df.agg(first.alias("_start"), last.alias("_end"))
     if include_last:
         bounds = bounds.withColumn("_end", dates.add_parts("_end", datepart, 1))
-    return _spine(bounds, datepart)
+    return spine_between(bounds, datepart)
 
 
 def get_base_dates(
@@ -343,4 +345,4 @@ def get_base_dates(
         dates.add_parts(day, datepart, -n_dateparts).alias("_start"),
         dates.add_parts(day, "day", 1).alias("_end"),
     )
-    return _spine(bounds, datepart)
+    return spine_between(bounds, datepart)

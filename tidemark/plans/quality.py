@@ -18,9 +18,14 @@ def normalise_strings(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.trim(F.col(c).cast("string")) for c in columns})
 
 
-def apply_contract_types(df: DataFrame, contract: Contract) -> DataFrame:
-    """Columns in their contract types; text that does not cast becomes null."""
-    return df.withColumns({f.name: F.col(f.name).try_cast(f.spark_type) for f in contract.fields})
+def apply_contract_types(df: DataFrame, contract: Contract, hashed: bool = False) -> DataFrame:
+    """Columns in their contract types; text that does not cast becomes null.
+
+    ``hashed`` tells that personal fields are hashes already, which stay text.
+    """
+    return df.withColumns(
+        {f.name: F.col(f.name).try_cast(f.protected_type if hashed else f.spark_type) for f in contract.fields}
+    )
 
 
 def contract_rules(contract: Contract) -> dict[str, Column]:
@@ -36,36 +41,57 @@ def contract_rules(contract: Contract) -> dict[str, Column]:
     return found
 
 
+def _order(row_order: Sequence[str]) -> Column:
+    return F.col(row_order[0]) if len(row_order) == 1 else F.struct(*row_order)
+
+
+def repeated_values(df: DataFrame, fields: Sequence[str], row_order: Sequence[str]) -> DataFrame:
+    """``_field, _value, _first``: values that repeat, with their first row, for all fields at once.
+
+    One aggregation, which meets copies before the shuffle. ``row_order`` must tell rows
+    apart (file and position, or a key). Null values are exempt.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("_field"), F.col(f).cast("string").alias("_value")) for f in fields]))
+    rows = df.select(_order(row_order).alias("_at"), pairs.alias("_p")).where("_p._value is not null")
+    counted = rows.groupBy("_p._field", "_p._value").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    return counted.where("_copies > 1").drop("_copies")
+
+
+def flag_repeated(
+    df: DataFrame, repeated: DataFrame, field: str, row_order: Sequence[str], into: str
+) -> DataFrame:
+    """Mark every row of a repeated value but the first, looked up by value."""
+    own = repeated.where(F.col("_field") == field).select(F.col("_value").alias("_key"), "_first")
+    keyed = df.withColumn("_key", F.col(field).cast("string"))
+    flag = F.coalesce(_order(row_order) != F.col("_first"), F.lit(False))
+    return lookup_join(keyed, own, ["_key"]).withColumn(into, flag).select(*df.columns, into)
+
+
 def flag_duplicates_in_batch(
     df: DataFrame, field: str, row_order: Sequence[str], into: str
 ) -> DataFrame:
-    """Mark every row of a repeated value but the first; null values are exempt.
-
-    ``row_order`` must tell rows apart (file and position, or a key). The first row
-    per repeated value is found by an aggregation, which meets copies before the
-    shuffle, and looked up by value: a hot value does not gather in one task, and
-    the batch is not shuffled at all while few values repeat.
-    """
-    order = F.col(row_order[0]) if len(row_order) == 1 else F.struct(*row_order)
-    repeated = (
-        df.where(F.col(field).isNotNull())
-        .groupBy(field)
-        .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-        .where("_copies > 1")
-        .drop("_copies")
-    )
-    flag = F.coalesce(order != F.col("_first"), F.lit(False))
-    return lookup_join(df, repeated, [field]).withColumn(into, flag).select(*df.columns, into)
+    """Mark every row of a repeated value but the first; null values are exempt."""
+    return flag_repeated(df, repeated_values(df, [field], row_order), field, row_order, into)
 
 
 def validate(
-    df: DataFrame, contract: Contract, row_order: Sequence[str], protect: bool = True
+    df: DataFrame,
+    contract: Contract,
+    row_order: Sequence[str],
+    protect: bool = True,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows with their failure reasons in ``_reasons``; personal fields hashed last."""
+    """Rows with their failure reasons in ``_reasons``; personal fields hashed last.
+
+    ``repeated`` are the ``repeated_values`` of the normalised rows, where the caller
+    keeps them for several unique fields.
+    """
     checked = normalise_strings(df, contract.names)
     flags = dict(contract_rules(contract))
+    if contract.unique_names and repeated is None:
+        repeated = repeated_values(checked, contract.unique_names, row_order)
     for i, name in enumerate(contract.unique_names):
-        checked = flag_duplicates_in_batch(checked, name, row_order, f"_dup{i}")
+        checked = flag_repeated(checked, repeated, name, row_order, f"_dup{i}")
         flags[f"unique:{name}"] = F.col(f"_dup{i}")
     reasons = F.array_compact(F.array(*[F.when(flag, F.lit(n)) for n, flag in flags.items()]))
     if not flags:

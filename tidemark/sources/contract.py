@@ -45,6 +45,11 @@ class Field:
     def spark_type(self) -> T.DataType:
         return spark_type(self.type)
 
+    @property
+    def protected_type(self) -> T.DataType:
+        """The type once personal fields are hashed: a hash is text."""
+        return T.StringType() if self.pii else self.spark_type
+
     @property
     def checks_type(self) -> bool:
         """Text, dates and times are not checked for their type."""
@@ -81,7 +86,7 @@ class Contract:
     def warehouse_schema(self) -> T.StructType:
         """Contract fields, the ingest date and the load metadata."""
         fields = [
-            T.StructField(f.name, f.spark_type) for f in self.fields if f.name != INGEST_COLUMN
+            T.StructField(f.name, f.protected_type) for f in self.fields if f.name != INGEST_COLUMN
         ]
         return T.StructType(
             [

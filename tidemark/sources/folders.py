@@ -29,5 +29,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared folder; it goes when the session ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    if getattr(spark, "_jvm", None) is not None:
+        file = spark._jvm.org.apache.hadoop.fs.Path(path)
+        file.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(file)
+    return path

@@ -10,12 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rules import any_of, is_missing
 from ..operators.reshape import latest_per_key
 
 POSITION = ["generation", "batch_id"]
+COMMIT = "generation int, batch_id long"
 
 
 def batch_path(path: str, batch_id: int, generation: int = 0) -> str:
@@ -29,11 +32,39 @@ def write_batch(
     generation: int = 0,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Write one batch to its folder; a retry replaces it."""
+    """Write one batch to its folder and commit it; a retry replaces it and commits again."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(batch_path(path, batch_id, generation))
+    commit = df.sparkSession.createDataFrame([(generation, batch_id)], COMMIT).coalesce(1)
+    commit.write.mode("append").json(commits_path(path))
+
+
+def commits_path(path: str) -> str:
+    """Beside the table: a small file per written batch, added after its rows."""
+    return f"{path}.commits"
+
+
+def commit_stream(
+    spark: SparkSession, path: str, max_files_per_batch: int | None = None
+) -> DataFrame | None:
+    """Stream of a log's commits; None if nothing is committed yet."""
+    try:
+        spark.read.schema(COMMIT).json(commits_path(path))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    reader = spark.readStream.schema(COMMIT)
+    if max_files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    return reader.json(commits_path(path))
+
+
+def read_batch(spark: SparkSession, path: str, batch_id: int, generation: int = 0) -> DataFrame:
+    """The rows of one batch as they are now."""
+    return spark.read.parquet(batch_path(path, batch_id, generation))
 
 
 def read_log(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -46,9 +77,14 @@ def read_log(spark: SparkSession, path: str, merge_schema: bool = False) -> Data
 
 
 def latest_rows(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Latest row per key. A key occurs once per batch, so a key's rows are few."""
-    numbered = log.withColumn("_at", F.struct(*POSITION))
-    return latest_per_key(numbered, keys, "_at").drop("_at", *POSITION)
+    """Latest row per key. A key occurs once per batch, so a key's rows are few.
+
+    A null key matches none, as in a merge: rows with one are all kept.
+    """
+    keyless = any_of(is_missing(k) for k in keys)
+    numbered = log.where(~keyless).withColumn("_at", F.struct(*POSITION))
+    latest = latest_per_key(numbered, keys, "_at").drop("_at")
+    return latest.unionByName(log.where(keyless)).drop(*POSITION)
 
 
 def _after(at: tuple[int, int]):

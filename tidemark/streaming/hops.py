@@ -15,13 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..plans.quality import apply_contract_types, split_valid_invalid, validate
+from ..plans.quality import (
+    apply_contract_types,
+    normalise_strings,
+    repeated_values,
+    split_valid_invalid,
+    validate,
+)
 from ..sources.contract import INGEST_COLUMN, Contract
 from ..sources.files import csv_stream_source, table_stream_source
-from ..sources.layers import POSITION as LOG_POSITION
-from ..sources.layers import write_batch
+from ..sources.layers import commit_stream, read_batch, write_batch
 
-BatchSink = Callable[[DataFrame, int], None]
+#: Takes a batch and its number in the source's log, as text.
+BatchSink = Callable[[DataFrame, str], None]
 
 FILE, POSITION = "_bronze_file", "_bronze_row"
 
@@ -61,27 +67,35 @@ def raw_to_bronze(
 
 def silver_batch(
     contract: Contract, silver_path: str, quarantine_path: str, generation: int = 0
-) -> BatchSink:
+) -> Callable[[DataFrame, int], None]:
     """Validate a micro-batch, quarantine its invalid rows, log its valid ones."""
     extra = [INGEST_COLUMN]
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        checked = validate(batch, contract, [FILE, POSITION])
+        # The source is read once: checks and outputs come from what is kept here.
+        rows = normalise_strings(batch, contract.names).persist(StorageLevel.MEMORY_AND_DISK)
+        order = [FILE, POSITION]
+        repeated = None
+        if contract.unique_names:
+            repeated = repeated_values(rows, contract.unique_names, order).persist(StorageLevel.MEMORY_AND_DISK)
+        checked = validate(rows, contract, order, repeated=repeated)
         checked = checked.drop(FILE, POSITION).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid, invalid = split_valid_invalid(checked)
             # One pass fills the cache and tells which outputs there are.
             n_reasons = F.size("_reasons")
             found = checked.agg(F.min(n_reasons).alias("least"), F.max(n_reasons).alias("most")).first()
+            if found["most"] is None:
+                return
             if found["most"] > 0:
                 write_batch(invalid, quarantine_path, batch_id, generation, extra)
             if found["least"] == 0:
-                typed = apply_contract_types(valid, contract)
+                typed = apply_contract_types(valid, contract, hashed=True)
                 write_batch(typed, silver_path, batch_id, generation, extra)
         finally:
-            checked.unpersist()
+            for kept in (checked, repeated, rows):
+                if kept is not None:
+                    kept.unpersist()
 
     return process
 
@@ -122,11 +136,11 @@ def with_load_metadata(df: DataFrame, run_id: str | None = None) -> DataFrame:
 
 
 def file_sink(path: str, partition_by: tuple[str, ...] = (INGEST_COLUMN,)) -> BatchSink:
-    """Append each batch to a warehouse table on files; a retry replaces its folder."""
+    """Append each batch to a warehouse table on files; loading it again replaces its folder."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        writer = batch.write.mode("overwrite").partitionBy(*partition_by)
-        writer.parquet(f"{path}/load_batch={batch_id}")
+    def write(rows: DataFrame, batch: str) -> None:
+        writer = rows.write.mode("overwrite").partitionBy(*partition_by)
+        writer.parquet(f"{path}/load_batch={batch}")
 
     return write
 
@@ -139,18 +153,23 @@ def silver_to_warehouse(
     run_id: str | None = None,
     max_files_per_batch: int | None = None,
 ) -> bool:
-    """Load new silver rows through a sink; empty batches are skipped.
+    """Load new silver batches through a sink; False if there is no silver yet.
 
-    The silver log is append-only, so it can be streamed although it holds upserts.
+    The stream reads the silver log's commits, one per written batch, and each batch is
+    passed on whole under its own number. A batch that is written again is committed
+    again, and so loaded again under the same number: a sink that replaces what it has
+    of a number holds every row once. ``max_files_per_batch`` bounds the batches a
+    micro-batch takes.
     """
-    stream = table_stream_source(spark, silver_path, max_files_per_batch)
-    if stream is None:
+    commits = commit_stream(spark, silver_path, max_files_per_batch)
+    if commits is None:
         return False
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            sink(batch, batch_id)
+    def process(committed: DataFrame, _: int) -> None:
+        named = committed.distinct().orderBy("generation", "batch_id").collect()  # a row per batch
+        for generation, batch_id in named:
+            rows = read_batch(spark, silver_path, batch_id, generation)
+            sink(with_load_metadata(rows, run_id), f"{generation}_{batch_id}")
 
-    loaded = with_load_metadata(stream.drop(*LOG_POSITION), run_id)
-    _drain(loaded.writeStream.foreachBatch(process), checkpoint)
+    _drain(commits.writeStream.foreachBatch(process), checkpoint)
     return True
