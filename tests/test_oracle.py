@@ -4,9 +4,10 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.compare import check, database
+from tidemark.catalog import ORACLES as SQL
+from tidemark.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,13 +15,13 @@ def con():
     return database(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
-    assert check(spark, con, FOLDER, name, queries()[name], SQL.get(name)) is None
+    assert check(spark, con, FOLDER, name, QUERIES[name], SQL.get(name)) is None
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(queries())
+    assert set(oracle_sql()) <= set(queries()) and set(QUERIES) <= set(queries())
 
 
 def test_flagship_has_rows(spark):

@@ -168,22 +168,17 @@ def test_unknown_gap_rule_is_an_error(spark):
 # --- joins under hot keys ----------------------------------------------------
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-@pytest.mark.parametrize("heavy", [1, 4, 50])
-def test_lookup_join_equals_a_plain_left_join(spark, max_rows, heavy):
+@pytest.mark.parametrize("hint", [None, "merge"])
+def test_lookup_join_equals_a_plain_left_join(spark, hint):
     rows = hot_rows()
     left = spark.createDataFrame([(r[0], r[1], r[2]) for r in rows], "id int, k string, o int")
     right = spark.createDataFrame([("hot", 1, None), ("a", 2, "x"), ("z", 3, "y")], "k string, n int, t string")
-    got = j.lookup_join(left, right, ["k"], max_rows, heavy)
+    got = j.lookup_join(left, right.hint(hint) if hint else right, ["k"])
     wanted = left.join(right, "k", "left").select(*got.columns)
     assert got.count() == len(rows)
     assert got.exceptAll(wanted).count() == 0 and wanted.exceptAll(got).count() == 0
-
-
-def test_size_check_counts_rows_and_bytes(spark):
-    df = spark.range(100).withColumn("t", F.repeat(F.lit("x"), 1000))
-    assert j.is_small(df, 100) and not j.is_small(df, 99)
-    assert not j.is_small(df, 100, max_bytes=50_000)
+    with pytest.raises(ValueError, match="o"):
+        j.lookup_join(left, right.withColumnRenamed("n", "O"), ["k"])
 
 
 def test_duplicates_keep_the_first_row(spark):

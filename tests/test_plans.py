@@ -8,6 +8,7 @@ from tidemark.operators import expect_values as ev
 from tidemark.operators import joins as j
 from tidemark.operators import reshape as r
 from tidemark.operators.suite import Check, run_checks
+from tidemark.plans import quality
 from tidemark.functions import rules
 
 FOLDER = "/root/testdata/sf0.001"
@@ -61,16 +62,26 @@ def test_ungrouped_order_checks_do_not_sort_in_one_task(spark):
             assert line.split("], [")[1].startswith("_range")
 
 
-def test_large_sides_are_not_broadcast_whole(spark):
+def jobs_of(spark, group, action):
+    """How many Spark jobs an action starts."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = action()
+        return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_lookups_run_nothing_while_they_are_built(spark):
     left, right = table(spark, "orders"), table(spark, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    plain = j.lookup_join(left, right, ["o_custkey"], max_broadcast_rows=10, heavy_keys=4)
-    assert "strategy=broadcast" not in plain._jdf.queryExecution().analyzed().toString()
-    # A key with half of the rows is hot: it and its match are broadcast, nothing else.
-    half = F.when(F.col("o_orderstatus") == "O", 7).otherwise(F.col("o_custkey")).cast("bigint")
-    hot = left.withColumn("o_custkey", half)
-    joined = j.lookup_join(hot, right, ["o_custkey"], max_broadcast_rows=10, heavy_keys=4)
-    logical = joined._jdf.queryExecution().analyzed().toString()
-    for tail in logical.split("ResolvedHint (strategy=broadcast)")[1:]:
-        assert not [line for line in tail.splitlines()[1:] if line.strip()][0].lstrip(" :+-").startswith("Relation")
-    assert joined.count() == left.count()
-    assert joined.where("o_custkey = 7 and c_name is null").count() == 0
+    joined, jobs = jobs_of(spark, "lookup", lambda: j.lookup_join(left, right, ["o_custkey"]))
+    assert jobs == 0
+    assert plan(joined).count("FileScan") == 2
+
+
+def test_repeated_values_of_all_fields_take_one_aggregation(spark):
+    rows = table(spark, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    repeated, jobs = jobs_of(spark, "repeated", lambda: quality.repeated_values(rows, rows.columns[1:], ["o_orderkey"]))
+    assert jobs == 0
+    text = plan(repeated)
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1

@@ -17,17 +17,22 @@ def tuples(df, *order):
 
 
 def test_pivot(spark):
-    df = spark.createDataFrame([("S", "red"), ("S", "blue"), ("S", "red"), ("M", "red")], "size string, color string")
-    wide = df.groupBy("size").agg(*r.pivot("color", ["red", "blue"]))
-    assert tuples(wide) == [("M", 1, 0), ("S", 2, 1)]
-    distinct = df.groupBy("size").agg(*r.pivot("color", ["red"], agg="count", then_value="color", else_value=None, distinct=True, suffix="_n"))
-    assert distinct.columns == ["size", "red_n"] and tuples(distinct) == [("M", 1), ("S", 1)]
-    values = r.get_column_values(df, "color")
-    assert values == ["red", "blue"]
-    assert r.get_column_values(df, "color", max_records=1) == ["red"]
-    assert r.get_column_values(df, "color", where="size = 'M'") == ["red"]
-    assert r.get_column_values(df, "color", order_by=F.min("size"), descending=False) == ["red", "blue"]
-    assert r.get_column_values(None, "color", default=["x"]) == ["x"]
+    rows = [("north", "tea"), ("north", "rice"), ("north", "tea"), ("south", "rice"), ("south", "rice"), ("south", "rice")]
+    df = spark.createDataFrame(rows, "port string, cargo string")
+    wide = df.groupBy("port").agg(*r.pivot("cargo", ["rice", "tea"]))
+    assert tuples(wide) == [("north", 1, 2), ("south", 3, 0)]
+    distinct = df.groupBy("port").agg(*r.pivot("cargo", ["tea"], agg="count", then_value="cargo", else_value=None, distinct=True, suffix="_n"))
+    assert distinct.columns == ["port", "tea_n"] and tuples(distinct) == [("north", 1), ("south", 0)]
+
+
+def test_values_of_a_column(spark):
+    df = spark.createDataFrame([("tea", 1), ("rice", 5), ("rice", 2), ("salt", 9)], "cargo string, tons int")
+    assert [x[0] for x in r.get_column_values(df, "cargo").collect()] == ["rice", "salt", "tea"]
+    assert r.listed_values(df, "cargo", 1) == ["rice"]
+    assert r.listed_values(df, "cargo", 9, where="tons < 5") == ["rice", "tea"]
+    assert r.listed_values(df, "cargo", 2, order_by=F.min("tons"), descending=False) == ["tea", "rice"]
+    assert r.listed_values(None, "cargo", 2, default=["x"]) == ["x"]
+    assert r.get_column_values(spark.range(30_000), "id").count() == 30_000
 
 
 def test_unpivot_keeps_nulls_and_drops_removed_columns(spark):
