@@ -190,14 +190,20 @@ def test_tests_of_silver_gate_gold(spark, tmp_path):
     day = dt.date(2024, 1, 1)
     customers = spark.createDataFrame([(10, "Ana", "a@b.c", "t", "Rio", "RJ", "Ativo", day)], customer)
     sales = spark.createDataFrame([(1, 10, 5, day, 9.0, 1, "Pix"), (2, 10, 5, day, 8.0, 1, "Pix")], sale)
-    mart = build_models(customers, sales, str(tmp_path), "one")
+    mart = build_models(customers, sales, str(tmp_path), 1)
     assert mart.count() == 2 and mart.where("cliente_nome = 'Ana'").count() == 2
     orphans = sales.withColumn("cliente_id", F.lit(99))
     with pytest.raises(ModelTestsFailed, match="sale_customer_exists: 2"):
-        build_models(customers, orphans, str(tmp_path), "two")
-    assert not (tmp_path / "datamart_resumo_vendas_cliente" / "run=two").exists()
+        build_models(customers, orphans, str(tmp_path), 2)
+    assert not (tmp_path / "datamart_resumo_vendas_cliente" / "run=2").exists()
     with pytest.raises(ModelTestsFailed, match="customer_status_accepted"):
-        build_models(customers.withColumn("status", F.lit("ativo")), sales, str(tmp_path), "three")
+        build_models(customers.withColumn("status", F.lit("ativo")), sales, str(tmp_path), 3)
+    # The failed runs left nothing behind: a changed and a new sale meet the first run's rows.
+    more = spark.createDataFrame([(2, 10, 6, dt.date(2024, 2, 1), 5.0, 1, "Pix"), (3, 10, 5, day, 4.0, 1, "Pix")], sale)
+    again = build_models(customers.limit(0), more, str(tmp_path), 4)
+    assert sorted((r["venda_id"], r["produto_id"], r["cliente_nome"]) for r in again.collect()) == [(1, 5, "Ana"), (2, 6, "Ana"), (3, 5, "Ana")]
+    files = list((tmp_path / "ft_vendas").rglob("data_venda=2024-01-01/*.parquet"))
+    assert len(files) <= 4
 
 
 # --- hops --------------------------------------------------------------------

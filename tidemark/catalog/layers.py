@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.reshape import latest_per_key
 from ..plans import models
+from ..plans.build import build_models
 from ..plans.quality import apply_contract_types, flag_duplicates_in_batch, normalise_strings, pii_hash
 from ..sources import layers as ly
 from ..sources.contract import contract_from, get_contract
@@ -18,7 +19,7 @@ from ..sources.files import csv_stream_source, processed_file_ledger, table_stre
 from ..sources.folders import new_folder
 from ..streaming import hops
 from .registry import query, text
-from .reshape import DATAMART_SQL, datamart
+from .reshape import DATAMART_SQL, bronze_customers, bronze_sales, datamart
 
 INGESTED = "2024-01-31"
 
@@ -200,6 +201,19 @@ def incremental_upsert_model(t):
     return ly.incremental_upsert(last(t.orders.where(~new), "old"), last(t.orders.where(new), "new"), ["o_custkey"])
 
 
+@query("incremental_silver_build", DATAMART_SQL.replace("'cidade ' || c.c_nationkey", "'cidade nova ' || c.c_nationkey"))
+def incremental_silver_build(t):
+    """Two runs: the first brings old places and some prices of nought, the second replaces them."""
+    root = new_folder(t.spark, "build")
+    customers = bronze_customers(t).withColumn("email", F.concat("nome", F.lit("@mail.com")))
+    sales = bronze_sales(t)
+    odd = F.col("quantidade") % 2 == 1
+    build_models(customers, sales.withColumn("valor_total", F.when(odd, 0.0).otherwise(F.col("valor_total"))), root, 1, "year")
+    moved = customers.withColumn("cidade", F.regexp_replace("cidade", "cidade", "cidade nova"))
+    mart = build_models(moved, sales, root, 2, "year")
+    return mart.withColumn("data_venda", text("data_venda"))
+
+
 @query("clustered_table_model", DATAMART_SQL)
 def clustered_table_model(t):
     root = new_folder(t.spark, "clustered")

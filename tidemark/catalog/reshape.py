@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from types import SimpleNamespace
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -77,7 +80,7 @@ def latest_per_key(t):
     """
     WITH f AS (
       SELECT 'customer_id_unique' AS "check", 0 AS failures UNION ALL SELECT 'customer_id_not_null', 0 UNION ALL
-      SELECT 'customer_email_unique', (SELECT count(*) FROM (SELECT 1 FROM customer WHERE c_acctbal >= 0 GROUP BY c_mktsegment HAVING count(*) > 1)) UNION ALL
+      SELECT 'customer_email_unique', (SELECT count(*) FROM (SELECT 1 FROM customer GROUP BY c_mktsegment HAVING count(*) > 1)) UNION ALL
       SELECT 'customer_email_not_null', 0 UNION ALL SELECT 'customer_status_accepted', 0 UNION ALL
       SELECT 'sale_id_unique', 0 UNION ALL SELECT 'sale_id_not_null', 0 UNION ALL SELECT 'sale_customer_not_null', 0 UNION ALL
       SELECT 'sale_customer_exists', (SELECT count(DISTINCT l_orderkey) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -86,10 +89,11 @@ def latest_per_key(t):
     """,
 )
 def silver_model_tests(t):
-    """Tests of the silver models; customers in debt are left out, so their sales are orphans."""
-    wealthy = t.customer.where("c_acctbal >= 0").select(F.col("c_custkey").alias("id"))
-    customers = models.silver_customers(bronze_customers(t).join(wealthy, "id", "left_semi"))
-    return silver_tests(customers, models.silver_sales(bronze_sales(t)))
+    """Tests of the silver models; customers in debt go by another key, so their sales are orphans."""
+    key = F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).otherwise(-F.col("c_custkey"))
+    customers = t.customer.withColumn("c_custkey", key)
+    bronze = bronze_customers(SimpleNamespace(customer=customers))
+    return silver_tests(models.silver_customers(bronze), models.silver_sales(bronze_sales(t)))
 
 
 def datamart(t):
@@ -146,14 +150,16 @@ def lookup_join_hot_key(t):
 @query(
     "full_outer_compare_join",
     """
-    WITH a AS (SELECT c_nationkey AS nation, count(*) AS customers FROM customer WHERE c_acctbal < 0 GROUP BY 1),
-    b AS (SELECT s_nationkey AS nation, count(*) AS suppliers FROM supplier GROUP BY 1)
+    WITH a AS (SELECT CAST(c_nationkey + CASE WHEN c_acctbal < 0 THEN 20 ELSE 10 END AS BIGINT) AS nation, count(*) AS customers FROM customer GROUP BY 1),
+    b AS (SELECT CAST(s_nationkey AS BIGINT) AS nation, count(*) AS suppliers FROM supplier GROUP BY 1)
     SELECT nation, customers, suppliers FROM a FULL JOIN b USING (nation)
     """,
 )
 def full_outer_compare_join(t):
-    a = t.customer.where("c_acctbal < 0").groupBy(F.col("c_nationkey").alias("nation"))
-    b = t.supplier.groupBy(F.col("s_nationkey").alias("nation"))
+    """Customers by a shifted nation, so that either side has keys of its own."""
+    shifted = F.col("c_nationkey") + F.when(F.col("c_acctbal") < 0, 20).otherwise(10)
+    a = t.customer.groupBy(shifted.cast("bigint").alias("nation"))
+    b = t.supplier.groupBy(F.col("s_nationkey").cast("bigint").alias("nation"))
     return j.compare_join(
         a.agg(F.count(F.lit(1)).alias("customers")), b.agg(F.count(F.lit(1)).alias("suppliers")), ["nation"]
     )
@@ -182,7 +188,9 @@ def cross_join_compare(t):
     " WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_retailprice < 950) GROUP BY 1",
 )
 def anti_join_check(t):
-    return j.keys_without_match(t.lineitem, "l_partkey", t.part.where("p_retailprice < 950"), "p_partkey")
+    """Dear parts have a null key here, which matches nothing."""
+    parts = t.part.select(F.when(F.col("p_retailprice") < 950, F.col("p_partkey")).alias("p_partkey"))
+    return j.keys_without_match(t.lineitem, "l_partkey", parts, "p_partkey")
 
 
 @query(
@@ -191,7 +199,8 @@ def anti_join_check(t):
     " WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'ECONOMY') GROUP BY 1",
 )
 def semi_join_check(t):
-    return j.keys_with_match(t.lineitem, "l_partkey", t.part.where("p_type = 'ECONOMY'"), "p_partkey")
+    parts = t.part.select(F.when(F.col("p_type") == "ECONOMY", F.col("p_partkey")).alias("p_partkey"))
+    return j.keys_with_match(t.lineitem, "l_partkey", parts, "p_partkey")
 
 
 @query(
@@ -204,7 +213,7 @@ def semi_join_check(t):
 )
 def spine_left_join(t):
     spine = r.date_spine_of(t.events, "ts", "hour")
-    hours = t.events.where("event_type = 'purchase'").select(dates.truncate("hour", "ts").alias("date_hour"))
+    hours = t.events.select(F.when(F.col("event_type") == "purchase", dates.truncate("hour", "ts")).alias("date_hour"))
     return spine.join(hours.distinct(), "date_hour", "left_anti").select(text("date_hour"))
 
 
@@ -582,49 +591,56 @@ def union_relations(t):
     return r.union_relations({"customer": customers, "supplier": suppliers}, exclude=["NATION"])
 
 
-def _views(t, names):
+@contextmanager
+def _views(t, prefix, names):
+    """Tables as temporary views, while names are looked up."""
     for name in names:
-        getattr(t, name).createOrReplaceTempView(f"tmk_{name}")
+        getattr(t, name).createOrReplaceTempView(f"{prefix}{name}")
+    try:
+        yield
+    finally:
+        for name in names:
+            t.spark.catalog.dropTempView(f"{prefix}{name}")
 
 
 @query(
     "union_by_pattern",
     """
-    SELECT 'tmk_orders' AS _source_relation, o_orderkey, CAST(NULL AS VARCHAR) AS c_name FROM orders
-    UNION ALL SELECT 'tmk_customer', NULL, c_name FROM customer
+    SELECT 'tmk_p_orders' AS _source_relation, o_orderkey, CAST(NULL AS VARCHAR) AS c_name FROM orders
+    UNION ALL SELECT 'tmk_p_customer', NULL, c_name FROM customer
     """,
 )
 def union_by_pattern(t):
-    _views(t, ["orders", "customer", "nation"])
-    tables = r.get_relations_by_pattern(t.spark, "%", "TMK_%", "tmk_nat%")
-    tables = {n: tables[n] for n in sorted(tables, reverse=True) if n in ("tmk_orders", "tmk_customer")}
-    return r.union_relations(tables, include=["o_orderkey", "c_name"])
+    """Whatever the pattern finds, less what is excluded."""
+    with _views(t, "tmk_p_", ["orders", "customer", "nation"]):
+        tables = r.get_relations_by_pattern(t.spark, "%", "TMK_P_%", "tmk_p_nat%")
+        return r.union_relations(tables, include=["c_name", "o_orderkey"])
 
 
 @query(
     "union_by_prefix",
-    "SELECT 'tmk_lineitem' AS _source_relation, l_orderkey, l_linenumber FROM lineitem",
+    "SELECT 'tmk_q_lineitem' AS _source_relation, l_orderkey, l_linenumber FROM lineitem",
 )
 def union_by_prefix(t):
-    _views(t, ["lineitem"])
-    tables = r.get_relations_by_prefix(t.spark, "%", "TMK_line")
-    return r.union_relations(tables, include=["l_orderkey", "l_linenumber"])
+    with _views(t, "tmk_q_", ["lineitem", "orders"]):
+        tables = r.get_relations_by_prefix(t.spark, "%", "TMK_Q_line")
+        return r.union_relations(tables, include=["l_orderkey", "l_linenumber"])
 
 
 @query(
     "except_both_ways",
     """
-    WITH a AS (SELECT c_nationkey AS nation, c_mktsegment AS segment FROM customer WHERE c_acctbal > 5000),
-    b AS (SELECT c_nationkey AS nation, c_mktsegment AS segment FROM customer WHERE c_acctbal < 0)
+    WITH a AS (SELECT CAST(c_nationkey AS BIGINT) AS nation, c_mktsegment AS segment FROM customer),
+    b AS (SELECT CAST(c_nationkey + CASE WHEN c_acctbal > 5000 THEN 15 ELSE 0 END AS BIGINT) AS nation, c_mktsegment AS segment FROM customer)
     SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
     UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT SELECT * FROM a)
     """,
 )
 def except_both_ways(t):
-    pairs = t.customer.selectExpr("c_nationkey AS nation", "c_mktsegment AS segment", "c_acctbal")
-    a = pairs.where("c_acctbal > 5000").drop("c_acctbal")
-    b = pairs.where("c_acctbal < 0").drop("c_acctbal")
-    return r.except_both_ways(a, b)
+    """All customers on both sides; rich ones live elsewhere on the second."""
+    a = t.customer.selectExpr("CAST(c_nationkey AS BIGINT) AS nation", "c_mktsegment AS segment")
+    moved = "CAST(c_nationkey + CASE WHEN c_acctbal > 5000 THEN 15 ELSE 0 END AS BIGINT) AS nation"
+    return r.except_both_ways(a, t.customer.selectExpr(moved, "c_mktsegment AS segment"))
 
 
 @query(

@@ -381,9 +381,19 @@ def metric_expression(t):
     )
 
 
-@query("rand")
+@query(
+    "rand",
+    "SELECT count(*) AS n_rows, true AS in_bounds, true AS all_different, true AS centred FROM events",
+)
 def rand(t):
-    return t.events.select("event_id", s.random_uniform(42).alias("uniform"))
+    """What holds of any draw: a number per row from 0 to 1, hardly ever twice, around a half."""
+    drawn = t.events.select(s.random_uniform(42).alias("u"))
+    return drawn.agg(
+        F.count("u").alias("n_rows"),
+        ((F.min("u") >= 0) & (F.max("u") < 1)).alias("in_bounds"),
+        (F.count_distinct("u") == F.count("u")).alias("all_different"),
+        (F.abs(F.avg("u") - 0.5) < 0.1).alias("centred"),
+    )
 
 
 # --- urls --------------------------------------------------------------------

@@ -142,8 +142,8 @@ def row_expression(t):
 # --- two tables --------------------------------------------------------------
 
 _CARDINALITY = """
-    WITH a AS (SELECT c_nationkey AS value_field, count(*) AS n_records FROM customer WHERE c_acctbal > 9000 GROUP BY 1),
-    b AS (SELECT s_nationkey AS value_field, count(*) AS n_records FROM supplier GROUP BY 1)
+    WITH a AS (SELECT CAST(c_nationkey + CASE WHEN c_acctbal > 9000 THEN 0 ELSE 30 END AS BIGINT) AS value_field, count(*) AS n_records FROM customer GROUP BY 1),
+    b AS (SELECT CAST(s_nationkey AS BIGINT) AS value_field, count(*) AS n_records FROM supplier GROUP BY 1)
     SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
     UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT SELECT * FROM a)
 """
@@ -151,20 +151,30 @@ _CARDINALITY = """
 
 @query("cardinality_equality", _CARDINALITY)
 def cardinality_equality(t):
-    return g.cardinality_equality(t.customer.where("c_acctbal > 9000"), "c_nationkey", t.supplier, "s_nationkey")
+    """Customers by nation, all but the richest by a shifted one."""
+    return g.cardinality_equality(_shifted(t, 9000), "nation", _supplier_nations(t), "nation")
+
+
+def _shifted(t, balance):
+    nation = F.col("c_nationkey") + F.when(F.col("c_acctbal") > balance, 0).otherwise(30)
+    return t.customer.select(nation.cast("bigint").alias("nation"))
+
+
+def _supplier_nations(t):
+    return t.supplier.select(F.col("s_nationkey").cast("bigint").alias("nation"))
 
 
 _EQUALITY = """
-    WITH a AS (SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderstatus = 'O'),
-    b AS (SELECT o_custkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F'),
+    WITH a AS (SELECT o_custkey, o_orderpriority FROM orders),
+    b AS (SELECT o_custkey, CASE WHEN o_orderstatus = 'F' THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority FROM orders),
     d AS (SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
       UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT SELECT * FROM a))
 """
 
 
 def _equality(t):
-    a, b = t.orders.where("o_orderstatus = 'O'"), t.orders.where("o_orderstatus = 'F'")
-    return g.equality(a, b, ["o_custkey", "o_orderpriority"])
+    urgent = F.when(F.col("o_orderstatus") == "F", "1-URGENT").otherwise(F.col("o_orderpriority"))
+    return g.equality(t.orders, t.orders.withColumn("o_orderpriority", urgent), ["o_custkey", "o_orderpriority"])
 
 
 @query("equality", _EQUALITY + "SELECT * FROM d")
@@ -182,14 +192,13 @@ def equality_failures(t):
 
 
 _COUNTS = """
-    WITH a AS (SELECT c_nationkey AS nation, count(*) AS count_a FROM customer WHERE c_acctbal > 9500 GROUP BY 1),
-    b AS (SELECT s_nationkey AS nation, count(*) AS count_b FROM supplier GROUP BY 1)
+    WITH a AS (SELECT CAST(c_nationkey + CASE WHEN c_acctbal > 9500 THEN 0 ELSE 30 END AS BIGINT) AS nation, count(*) AS count_a FROM customer GROUP BY 1),
+    b AS (SELECT CAST(s_nationkey AS BIGINT) AS nation, count(*) AS count_b FROM supplier GROUP BY 1)
 """
 
 
 def _nations(t):
-    a = t.customer.where("c_acctbal > 9500").select(F.col("c_nationkey").alias("nation"))
-    return a, t.supplier.select(F.col("s_nationkey").alias("nation"))
+    return _shifted(t, 9500), _supplier_nations(t)
 
 
 @query(

@@ -7,10 +7,17 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import rules
+from ..functions import dates, rules
 from ..operators import table_tests as tt
 from ..operators.suite import Check, Result, run_checks, test_result
-from ..sources.layers import clustered_write
+from ..sources.layers import (
+    add_batch,
+    clustered_write,
+    commit_batch,
+    committed_batches,
+    latest_rows,
+    read_batches,
+)
 from .models import sales_datamart, silver_customers, silver_sales
 from .report import STATUSES
 
@@ -69,23 +76,38 @@ def require(results: DataFrame) -> None:
         raise ModelTestsFailed(", ".join(f"{r['check']}: {r['failures']}" for r in failed))
 
 
-def build_models(customers: DataFrame, sales: DataFrame, root: str, run: str) -> DataFrame:
-    """Write the silver models, test them, then write and test the gold table.
+def build_models(
+    customers: DataFrame, sales: DataFrame, root: str, run: int, granularity: str = "day"
+) -> DataFrame:
+    """Upsert bronze rows into the silver models, test these, then rebuild and test the gold table.
 
-    Each run has folders of its own, so a failed run leaves the one before intact.
+    A run adds its latest row per key as one batch to each silver log, few files per
+    date, and leaves the rest as it is; the current row of a key is that of the last
+    run that brought it. A batch is committed when the tests of the run have passed,
+    so a failed run changes nothing for readers or later runs. The silver logs are
+    partitioned by their dates, or by the ``granularity`` of these where days hold little.
     """
     spark = customers.sparkSession
 
-    def stored(model: DataFrame, name: str, partition: str) -> DataFrame:
-        path = f"{root}/{name}/run={run}"
-        model.write.mode("overwrite").partitionBy(partition).parquet(path)
-        return spark.read.schema(model.schema).parquet(path)
-
-    silver = stored(silver_customers(customers), "cl_clientes", "data_cadastro")
-    facts = stored(silver_sales(sales), "ft_vendas", "data_venda")
+    def upserted(model: DataFrame, name: str, key: str, partition: str) -> DataFrame:
+        path = f"{root}/{name}"
+        columns = model.columns
+        if granularity != "day":
+            period = dates.truncate(granularity, partition).cast("date")
+            partition = f"{partition}_{granularity}"
+            model = model.withColumn(partition, period)
+        # Partitions of the date are split or joined by the size they turn out to have.
+        add_batch(model.hint("rebalance", partition), path, run, partition_by=[partition])
+        batches = sorted({*(b for _, b in committed_batches(spark, path)), run})
+        return latest_rows(read_batches(spark, path, batches, model.schema), [key]).select(*columns)
+
+    silver = upserted(silver_customers(customers), "cl_clientes", "cliente_id", "data_cadastro")
+    facts = upserted(silver_sales(sales), "ft_vendas", "venda_id", "data_venda")
     require(silver_tests(silver, facts))
     path = f"{root}/datamart_resumo_vendas_cliente/run={run}"
     clustered_write(sales_datamart(facts, silver), path, ["cliente_id", "data_venda"])
     mart = spark.read.parquet(path)
     require(gold_tests(mart))
+    for name in ("cl_clientes", "ft_vendas"):
+        commit_batch(spark, f"{root}/{name}", run)
     return mart

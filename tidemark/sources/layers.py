@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.rules import any_of, is_missing
 from ..operators.reshape import latest_per_key
@@ -33,14 +34,46 @@ def write_batch(
     partition_by: Sequence[str] = (),
 ) -> None:
     """Write one batch to its folder and commit it; a retry replaces it and commits again."""
+    add_batch(df, path, batch_id, generation, partition_by)
+    commit_batch(df.sparkSession, path, batch_id, generation)
+
+
+def add_batch(
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    generation: int = 0,
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Write one batch to its folder, to be committed later."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(batch_path(path, batch_id, generation))
-    commit = df.sparkSession.createDataFrame([(generation, batch_id)], COMMIT).coalesce(1)
+
+
+def commit_batch(spark: SparkSession, path: str, batch_id: int, generation: int = 0) -> None:
+    commit = spark.createDataFrame([(generation, batch_id)], COMMIT).coalesce(1)
     commit.write.mode("append").json(commits_path(path))
 
 
+def committed_batches(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """Generation and number of every committed batch, in order."""
+    if commit_stream(spark, path) is None:
+        return []
+    rows = spark.read.schema(COMMIT).json(commits_path(path)).distinct().collect()  # a row per batch
+    return sorted((r[0], r[1]) for r in rows)
+
+
+def read_batches(
+    spark: SparkSession, path: str, batches: Sequence[int], schema: T.StructType, generation: int = 0
+) -> DataFrame:
+    """The rows of some batches with their place in the log."""
+    place = T.StructType([*schema.fields, T.StructField("generation", T.IntegerType()), T.StructField("batch_id", T.LongType())])
+    paths = [batch_path(path, b, generation) for b in batches]
+    return spark.read.schema(place).option("basePath", path).parquet(*paths)
+
+
 def commits_path(path: str) -> str:
     """Beside the table: a small file per written batch, added after its rows."""
     return f"{path}.commits"
