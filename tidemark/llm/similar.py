@@ -3,8 +3,8 @@
 Equal sets are one node. A node's signatures are dealt out by signature; inside one the
 nodes form a star around the smallest, and inside a task before that, so a signature of
 very many nodes is never gathered. Star edges are verified by the exact similarity and
-linked nodes contracted to components. Where a star leaves several components, all
-remaining pairs across them are verified too, so no link is lost.
+linked nodes contracted to components. Where a star leaves several components, the nodes
+outside the largest are compared with all others, in blocks, so no link is lost.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from .store import by_text, closed, column, opened, shared_map, stored, text_key
 
 #: Signatures that a task gathers before it links those of one kind.
 GATHERED = 1 << 21
+#: Nodes of a block that a task holds, and that pass by it, about.
+OUTSIDERS, MEMBERS = 256, 4096
 
 
 def shingle_sets(texts: pa.Array, length: int) -> Iterator[np.ndarray]:
@@ -113,9 +115,10 @@ def similar_pairs(docs: DataFrame, *, shingle: int, percent: int, text: str) ->
         F.col("node").alias("b"),
     )
     stars = stored(stars.filter("a != b"), "stars")
-    links = verified(named, stars.select("a", "b"), shingle=shingle, percent=percent)
+    sets = stored(sets_of(named, stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), shingle), "sets")
+    links = verified(stars.select("a", "b"), sets, percent)
 
-    # Signatures whose nodes did not all end in one component: the other pairs across.
+    # Signatures whose nodes did not all end in one component: what lies across is left.
     labels = stored(components(links), "labels")
     of_a = labels.select(F.col("node").alias("a"), F.col("component").alias("label_a"))
     of_b = labels.select(F.col("node").alias("b"), F.col("component").alias("label_b"))
@@ -124,39 +127,39 @@ def similar_pairs(docs: DataFrame, *, shingle: int, percent: int, text: str) ->
     )
     labelled = stored(labelled, "labelled")
     mixed = labelled.filter("label_a != label_b").select("signature").distinct()
-    members = labelled.join(mixed, "signature").select("signature", F.explode(F.array(F.struct(F.col("a").alias("n"), F.col("label_a").alias("c")), F.struct(F.col("b").alias("n"), F.col("label_b").alias("c")))).alias("m"))
-    members = stored(members.select("signature", "m.n", "m.c").distinct(), "members")
-    left = members.select("signature", F.col("n").alias("a"), F.col("c").alias("ca"))
-    right = members.select("signature", F.col("n").alias("b"), F.col("c").alias("cb"))
-    across = left.join(right, "signature").filter("a < b AND ca != cb").select("a", "b").distinct()
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = stored(across.join(tried, ["a", "b"], "left_anti"), "across")
-    more = verified(named, rest, shingle=shingle, percent=percent)
-    return profiles, links.unionByName(more)
-
-
-def verified(named: DataFrame, pairs: DataFrame, *, shingle: int, percent: int) -> DataFrame:
-    """The distinct pairs of nodes whose sets are similar, by their whole sets."""
-    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    if pairs.isEmpty():
-        return pairs
-    wanted = shared_map(pairs.select(F.col("a").alias("bits")).unionByName(pairs.select(F.col("b").alias("bits"))))
+    ends = F.array(*[F.struct(F.col(x).alias("node"), F.col(f"label_{x}").alias("label")) for x in ("a", "b")])
+    members = labelled.join(mixed, "signature").select("signature", F.explode(ends).alias("m"))
+    members = stored(members.select("signature", "m.*").distinct(), "members")
+    return profiles, links.unionByName(across(members, sets, percent))
+
+
+def sets_of(named: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """``(node, features)`` of the wanted nodes, from the texts."""
+    wanted = shared_map(nodes.select(F.col("node").alias("bits")))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for part in slices(batches, "text"):
-            nodes, sets = [], []
+            found, sets = [], []
             for features in shingle_sets(part.column("text"), shingle):
                 if len(features) and (node := node_of(features)) not in seen and wanted.has(node):
                     seen.add(node)
-                    nodes.append(node)
+                    found.append(node)
                     sets.append(features.view(np.int64))
-            if nodes:
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "features"])
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "features"])
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = named.select("text").mapInArrow(gather, "node long, features array<long>")
-    sets = stored(sets.groupBy("node").agg(F.first("features").alias("features")).join(nodes, "node", "left_semi"), "sets")
+    return sets.groupBy("node").agg(F.first("features").alias("features")).join(nodes, "node", "left_semi")
+
+
+def is_close(shared: np.ndarray | int, left: np.ndarray | int, right: int, percent: int) -> np.ndarray | bool:
+    return 100 * shared >= percent * (left + right - shared)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs of nodes whose sets are similar, by their whole sets."""
+    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +168,7 @@ def verified(named: DataFrame, pairs: DataFrame, *, shingle: int, percent: int)
                 left = batch.column("left")[i].values.to_numpy()
                 right = batch.column("right")[i].values.to_numpy()
                 shared = len(np.intersect1d(left, right, assume_unique=True))
-                kept.append(100 * shared >= percent * (len(left) + len(right) - shared))
+                kept.append(is_close(shared, len(left), len(right), percent))
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     met = pairs.join(sets.select(F.col("node").alias("a"), F.col("features").alias("left")), "a")
@@ -174,6 +177,69 @@ def verified(named: DataFrame, pairs: DataFrame, *, shingle: int, percent: int)
     return stored(met.filter(close).select("a", "b", "left", "right").mapInArrow(compare, "a long, b long"), "links")
 
 
+def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Similar pairs of nodes of one signature and different labels.
+
+    Of ``(signature, node, label)`` rows, those outside the signature's largest component
+    are its outsiders. They are compared with all members, block by block: a task holds a
+    bounded number of outsiders, and members pass by one at a time. No pair becomes a row.
+    """
+    sizes = members.groupBy("signature", "label").agg(F.count(F.lit(1)).alias("n"))
+    plan = sizes.groupBy("signature").agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("main"))
+    blocks = [F.ceil(c / F.lit(float(size))).cast("long").alias(name) for c, size, name in (
+        (F.col("all"), MEMBERS, "m_blocks"), (F.col("all") - F.col("main.n"), OUTSIDERS, "o_blocks"))]
+    plan = plan.select("signature", F.col("main.label").alias("main"), *blocks)
+    placed = members.join(stored(plan, "plan"), "signature").join(sets, "node")
+    placed = placed.withColumn("m", F.pmod(F.xxhash64("node"), F.col("m_blocks"))).withColumn("o", F.pmod(F.xxhash64("node"), F.col("o_blocks")))
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("o_blocks") - 1))
+    passing = placed.withColumn("o", others).withColumn("held", F.lit(False))
+    others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("m_blocks") - 1))
+    outsiders = placed.filter("label != main").withColumn("m", others).withColumn("held", F.lit(True))
+    rows = outsiders.unionByName(passing).select(F.xxhash64("signature", "m", "o").alias("block"), "held", "node", "label", "features")
+    rows = rows.repartition("block").sortWithinPartitions("block", F.desc("held"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, index = None, [], None
+        for batch in batches:
+            pairs = []
+            columns = [batch.column(c).to_pylist() for c in ("block", "held", "node", "label")]
+            for i, (at, is_held, node, label) in enumerate(zip(*columns, strict=True)):
+                features = batch.column("features")[i].values.to_numpy()
+                if at != block:
+                    block, held, index = at, [], None
+                if is_held:
+                    held.append((node, label, features))
+                    continue
+                if index is None:
+                    index = Index(held)
+                pairs += index.close_to(node, label, features, percent)
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+
+    return stored(rows.mapInArrow(compare, "a long, b long").distinct(), "across")
+
+
+class Index:
+    """Features of a block of sets, to count what another set shares with each."""
+
+    def __init__(self, held: list[tuple[int, int, np.ndarray]]):
+        self.nodes = np.array([h[0] for h in held], np.int64)
+        self.labels = np.array([h[1] for h in held], np.int64)
+        self.sizes = np.array([len(h[2]) for h in held], np.int64)
+        features = np.concatenate([h[2] for h in held]) if held else np.zeros(0, np.int64)
+        order = np.argsort(features, kind="stable")
+        self.features = features[order]
+        self.owners = np.repeat(np.arange(len(held)), self.sizes)[order]
+
+    def close_to(self, node: int, label: int, features: np.ndarray, percent: int) -> list[tuple[int, int]]:
+        first = np.searchsorted(self.features, features, "left")
+        count = np.searchsorted(self.features, features, "right") - first
+        at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        shared = np.bincount(self.owners[at], minlength=len(self.nodes))
+        found = is_close(shared, self.sizes, len(features), percent) & (self.labels != label) & (self.nodes != node)
+        return [(min(node, x), max(node, x)) for x in self.nodes[found].tolist()]
+
+
 def similar_documents(
     docs: DataFrame, *, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
