@@ -27,6 +27,10 @@ from .store import by_text, column, stored, text_key
 MARK = "▁".encode()
 #: Words whose lattices are worked on at once, times their length in bytes.
 LATTICE_CELLS = 200_000
+#: Words gathered from Arrow batches before their lattices are made, for long arrays.
+GATHERED = 100_000
+#: Leading bits of a hash that tell most stretches which are no piece.
+SEEN_BITS = 20
 #: Expected counts are added up as integers of this part, so that sums don't depend on order.
 UNIT = 2.0**-20
 
@@ -42,15 +46,19 @@ class Vocabulary:
         hashes = spans(*byte_sums(raw), starts, ends)
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
+        self.seen = np.zeros(1 << SEEN_BITS, bool)
+        self.seen[(hashes >> np.uint64(64 - SEEN_BITS)).astype(np.int64)] = True
         lengths = ends - starts
         self.lengths = sorted(set(lengths.tolist()))
 
     def edges(self, sums: np.ndarray, back: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Which of the stretches are pieces, and which pieces."""
         found = spans(sums, back, starts, starts + length)
+        maybe = np.flatnonzero(self.seen[(found >> np.uint64(64 - SEEN_BITS)).astype(np.int64)])
+        found = found[maybe]
         spot = np.minimum(np.searchsorted(self.hashes, found), len(self.hashes) - 1)
-        hit = np.flatnonzero(self.hashes[spot] == found)
-        return hit, self.order[spot[hit]]
+        same = self.hashes[spot] == found
+        return maybe[same], self.order[spot[same]]
 
 
 def pieces_of(model: bytes) -> tuple[list[bytes], np.ndarray]:
@@ -104,6 +112,8 @@ def lattices(words: pa.Array, vocabulary: Vocabulary):
                 for span in vocabulary.lengths:
                     if span > end:
                         break
+                    if span > 1 and 0 < end - span < len(MARK):
+                        continue  # no piece but a byte begins inside the mark
                     hit, piece = vocabulary.edges(sums, back, base + end - span, span)
                     if len(hit):
                         alpha[hit, end] = np.logaddexp(alpha[hit, end], alpha[hit, end - span] + vocabulary.log_p[piece])
@@ -111,6 +121,18 @@ def lattices(words: pa.Array, vocabulary: Vocabulary):
             yield which, length, edges, alpha
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches put together to about ``GATHERED`` rows each."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= GATHERED:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def likelihoods(words: pa.Array, vocabulary: Vocabulary) -> np.ndarray:
     """Natural log of each word's probability."""
     out = np.zeros(len(words))
@@ -149,7 +171,7 @@ def fitted(spark: SparkSession, words: DataFrame, pieces: list[bytes], ends: int
 
         def expect(batches: Iterator[pa.RecordBatch], log_p=log_p) -> Iterator[pa.RecordBatch]:
             vocabulary, total = Vocabulary(pieces, log_p.value), np.zeros(len(pieces))
-            for batch in batches:
+            for batch in gathered(batches):
                 total += np.round(expected_counts(batch.column("word"), batch.column("chosen").to_numpy().astype(np.float64), vocabulary) / UNIT)
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used].astype(np.int64))], names=["piece", "times"])
@@ -203,7 +225,7 @@ def lattice_scores(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(pieces, log_p.value[:-1])
-        for batch in batches:
+        for batch in gathered(batches):
             found = likelihoods(batch.column("word"), vocabulary) / np.log(10)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("word", "n", "chosen")], pa.array(found)], names=["word", "n", "chosen", "lattice"])
 
