@@ -59,7 +59,7 @@ def test_ungrouped_order_checks_do_not_sort_in_one_task(spark):
     text = plan(failing)
     for line in text.splitlines():
         if "Window [lag(_value" in line:
-            assert line.split("], [")[1].startswith("_range")
+            assert line.split("], [")[1].startswith("_slot")
 
 
 def jobs_of(spark, group, action):

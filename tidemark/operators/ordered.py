@@ -2,8 +2,8 @@
 
 A plain window sends a whole group to one task, so one group with a third of all
 rows decides the run time. Here a sorted group is cut into ranges: the cut points
-come from a bounded sample and are literals in the plan, so a row's range depends
-on the row alone, and a recomputed task puts it into the same range again.
+come from a bounded sample, in a subquery that runs once, so a row's range depends
+on the row and the sample alone. Each range has a task of its own.
 
 Groups are contiguous in sort order, so the only row outside a range that a row in
 it can need is the outermost one of the nearest range with rows. The table that
@@ -13,6 +13,7 @@ carries values over the cuts therefore has one row per range, and is broadcast.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,8 +21,20 @@ from pyspark.sql import types as T
 
 from ..functions.rules import all_of
 
+#: Sampled rows per range. Beyond ``MAX_SAMPLE / SAMPLES_PER_RANGE`` ranges there are fewer,
+#: and ranges may be less even; what is computed stays the same.
 SAMPLES_PER_RANGE = 20
 MAX_SAMPLE = 100_000
+#: Characters of a text in a sampled key, which bounds the sample's bytes.
+KEY_CHARS = 64
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """Up to ``ranges - 1`` keys that split a table, as an array column, in order."""
+
+    points: Column
+    ranges: int
 
 
 def sort_keys(partition_by: Sequence[str], order_by: Sequence[str]) -> list[str]:
@@ -33,47 +46,59 @@ def _sort_key(names: Sequence[str]) -> Column:
     return F.struct(*[F.col(n) for n in names])
 
 
-def cut_points(df: DataFrame, names: Sequence[str], ranges: int | None = None) -> list[str]:
-    """Up to ``ranges - 1`` keys, as JSON, that split ``df`` evenly in the order of ``names``.
+def cut_points(df: DataFrame, names: Sequence[str], ranges: int | None = None) -> Cuts | None:
+    """Keys that split ``df`` about evenly in the order of ``names``.
 
-    The driver sees a sample of about 20 rows per range. Any cut points give the
-    same result; good ones give even tasks.
+    Nothing runs here: the points are a subquery over one pass that keeps a bounded
+    random sample. Any cut points give the same result; good ones give even tasks.
     """
     if ranges is None:
         ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if ranges < 2:
-        return []
-    keys = df.select(*names)
-    size, total = min(ranges * SAMPLES_PER_RANGE, MAX_SAMPLE), keys.count()
-    sample = keys.sample(size / total, seed=7) if total > size else keys
-    rows = sample.orderBy(*names).select(F.to_json(_sort_key(names))).collect()
-    picks = [rows[i * len(rows) // ranges][0] for i in range(1, ranges)] if rows else []
-    return list(dict.fromkeys(picks))
+        return None
+    types = {f.name: f.dataType for f in df.schema.fields}
+    short = [F.left(n, F.lit(KEY_CHARS)).alias(n) if isinstance(types[n], T.StringType) else F.col(n) for n in names]
+    sample = df.select(*short).orderBy(F.rand(7)).limit(min(ranges * SAMPLES_PER_RANGE, MAX_SAMPLE))
+    rows = sample.agg(F.sort_array(F.collect_list(_sort_key(names))).alias("rows"))
+    at = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.floor(i * F.size("rows") / ranges).cast("int"))
+    points = F.array_distinct(F.transform(at, lambda i: F.get("rows", i)))
+    return Cuts(rows.select(F.filter(points, lambda x: x.isNotNull())).scalar(), ranges)
 
 
 def with_range(
-    df: DataFrame, names: Sequence[str], cuts: Sequence[str], into: str = "_range"
+    df: DataFrame, names: Sequence[str], cuts: Cuts | None, into: str = "_range"
 ) -> DataFrame:
     """Add the number of cut points at or below the row's key.
 
-    A bisection, one generated projection per step: the cuts are one folded literal
-    and the work per row grows with the logarithm of their number.
+    A bisection, one generated projection per step: the work per row grows with the
+    logarithm of the number of cuts.
     """
-    if not cuts:
+    if cuts is None:
         return df.withColumn(into, F.lit(0))
-    types = {f.name: f.dataType for f in df.schema.fields}
-    key_type = T.StructType([T.StructField(n, types[n]) for n in names])
-    points = F.from_json(F.lit(f"[{','.join(cuts)}]"), T.ArrayType(key_type))
     found = df.withColumns({"_key": _sort_key(names), into: F.lit(0)})
-    step = 1 << (len(cuts).bit_length() - 1)
+    step = 1 << ((cuts.ranges - 1).bit_length() - 1)
     while step:
         at = F.col(into)
-        further = F.get(points, at + (step - 1)) <= F.col("_key")
+        further = F.coalesce(F.get(cuts.points, at + (step - 1)) <= F.col("_key"), F.lit(False))
         found = found.withColumn(into, at + F.when(further, step).otherwise(0))
         step >>= 1
     return found.drop("_key")
 
 
+def _by_range(df: DataFrame, cuts: Cuts | None) -> tuple[DataFrame, list[str]]:
+    """Rows dealt out so that every range has a task of its own, and the columns that tell.
+
+    ``_slot`` is, per range, a number that hashing sends to just that task.
+    """
+    if cuts is None:
+        return df, ["_range"]
+    spark, n = df.sparkSession, cuts.ranges
+    numbers = spark.range(32 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("task")).agg(F.min("id").alias("number"))
+    slots = numbers.agg(F.sort_array(F.collect_list(F.struct("task", "number"))).alias("s")).select("s.number").scalar()
+    slot = F.coalesce(F.get(slots, F.col("_range")), F.col("_range").cast("bigint"))
+    return df.withColumn("_slot", slot).repartition(n, "_slot"), ["_slot", "_range"]
+
+
 def with_neighbour(
     df: DataFrame,
     value: str,
@@ -81,7 +106,7 @@ def with_neighbour(
     partition_by: Sequence[str] = (),
     into: str = "previous",
     ahead: bool = False,
-    cuts: Sequence[str] | None = None,
+    cuts: Cuts | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """Add the value of the previous (or next) row of the group in sort order.
@@ -98,9 +123,10 @@ def with_neighbour(
     cells = with_range(df, keys, cuts).withColumn(
         "_value", F.struct(F.col(value).alias("v"), *carry)
     )
-    inner = Window.partitionBy(*group, "_range").orderBy(*order)
+    dealt, place = _by_range(cells, cuts)
+    inner = Window.partitionBy(*place, *group).orderBy(*order)
     step = F.lead if ahead else F.lag
-    near = cells.withColumn("_near", step("_value").over(inner))
+    near = dealt.withColumn("_near", step("_value").over(inner))
 
     if cuts:
         # The outermost row of each range: one row per range, whatever the groups.
@@ -171,9 +197,10 @@ def exact_quantile(
     match = counts["_range"] == totals["_r"]
     for i, c in enumerate(group):
         match = match & counts[c].eqNullSafe(totals[f"_g{i}"])
-    within = Window.partitionBy(*group, "_range").orderBy("_v")
+    dealt, place = _by_range(counts.join(totals, match), cuts)
+    within = Window.partitionBy(*place, *group).orderBy("_v")
     within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.join(totals, match).withColumn(
+    ranked = dealt.withColumn(
         "_upto", F.col("_before") + F.sum("_n").over(within)
     )
     ends = ranked.groupBy(*group).agg(
