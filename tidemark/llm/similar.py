@@ -126,11 +126,35 @@ def similar_pairs(docs: DataFrame, *, shingle: int, percent: int, text: str) ->
         "signature", "a", "b", F.coalesce("label_a", "a").alias("label_a"), F.coalesce("label_b", "b").alias("label_b")
     )
     labelled = stored(labelled, "labelled")
-    mixed = labelled.filter("label_a != label_b").select("signature").distinct()
+    # A star of one centre has tested all its pairs with it; only what is between the others is left.
+    kinds = labelled.groupBy("signature").agg(
+        F.min("a").alias("a"), F.max("a").alias("z"), F.min("label_b").alias("b0"), F.max("label_b").alias("b1"),
+        F.min(F.least("label_a", "label_b")).alias("l0"), F.max(F.greatest("label_a", "label_b")).alias("l1"),
+    )
+    mixed = kinds.filter("(a = z AND b0 != b1) OR (a != z AND l0 != l1)").select("signature")
+    opened = stored(labelled.join(mixed, "signature"), "open")
     ends = F.array(*[F.struct(F.col(x).alias("node"), F.col(f"label_{x}").alias("label")) for x in ("a", "b")])
-    members = labelled.join(mixed, "signature").select("signature", F.explode(ends).alias("m"))
-    members = stored(members.select("signature", "m.*").distinct(), "members")
-    return profiles, links.unionByName(across(members, sets, percent))
+    members = stored(opened.select("signature", F.explode(ends).alias("m")).select("signature", "m.*").distinct(), "members")
+    families = components(opened.select("a", "b")).select("node", F.col("component").alias("family"))
+    return profiles, links.unionByName(across(in_units(members, families), sets, percent))
+
+
+def in_units(members: DataFrame, families: DataFrame) -> DataFrame:
+    """``(unit, node, label)``: nodes to be compared with one another, from those of a signature each.
+
+    Nodes that share many signatures would be compared in each of them. A family, which is
+    what signatures connect, is one unit where that makes fewer rows than its signatures do.
+    """
+    members = stored(members.join(families, "node"), "families")
+    nodes = members.select("family", "node", "label").distinct()
+    by_label = nodes.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
+    size = by_label.groupBy("family").agg(F.sum("n").alias("all"), F.max("n").alias("main"))
+    rows = members.groupBy("family").agg(F.count(F.lit(1)).alias("rows"))
+    whole = F.col("all") * F.ceil((F.col("all") - F.col("main")) / F.lit(float(OUTSIDERS))) <= F.col("rows")
+    chosen = stored(size.join(rows, "family").select("family", whole.alias("whole")), "chosen")
+    met = members.join(chosen, "family")
+    unit = F.when(F.col("whole"), F.xxhash64(F.lit("family"), "family")).otherwise(F.xxhash64(F.lit("signature"), "signature"))
+    return met.select(unit.alias("unit"), "node", "label").distinct()
 
 
 def sets_of(named: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
@@ -178,24 +202,24 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Similar pairs of nodes of one signature and different labels.
+    """Similar pairs of nodes of one unit and different labels.
 
-    Of ``(signature, node, label)`` rows, those outside the signature's largest component
-    are its outsiders. They are compared with all members, block by block: a task holds a
+    Of ``(unit, node, label)`` rows, those outside the unit's largest component are its
+    outsiders. They are compared with all members, block by block: a task holds a
     bounded number of outsiders, and members pass by one at a time. No pair becomes a row.
     """
-    sizes = members.groupBy("signature", "label").agg(F.count(F.lit(1)).alias("n"))
-    plan = sizes.groupBy("signature").agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("main"))
+    sizes = members.groupBy("unit", "label").agg(F.count(F.lit(1)).alias("n"))
+    plan = sizes.groupBy("unit").agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("main"))
     blocks = [F.ceil(c / F.lit(float(size))).cast("long").alias(name) for c, size, name in (
         (F.col("all"), MEMBERS, "m_blocks"), (F.col("all") - F.col("main.n"), OUTSIDERS, "o_blocks"))]
-    plan = plan.select("signature", F.col("main.label").alias("main"), *blocks)
-    placed = members.join(stored(plan, "plan"), "signature").join(sets, "node")
+    plan = plan.select("unit", F.col("main.label").alias("main"), *blocks)
+    placed = members.join(stored(plan, "plan"), "unit").join(sets, "node")
     placed = placed.withColumn("m", F.pmod(F.xxhash64("node"), F.col("m_blocks"))).withColumn("o", F.pmod(F.xxhash64("node"), F.col("o_blocks")))
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("o_blocks") - 1))
     passing = placed.withColumn("o", others).withColumn("held", F.lit(False))
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("m_blocks") - 1))
     outsiders = placed.filter("label != main").withColumn("m", others).withColumn("held", F.lit(True))
-    rows = outsiders.unionByName(passing).select(F.xxhash64("signature", "m", "o").alias("block"), "held", "node", "label", "features")
+    rows = outsiders.unionByName(passing).select(F.xxhash64("unit", "m", "o").alias("block"), "held", "node", "label", "features")
     rows = rows.repartition("block").sortWithinPartitions("block", F.desc("held"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
