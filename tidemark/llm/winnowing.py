@@ -16,11 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import ALPHANUMERIC, Words, mix, sequences, slices
-from .store import closed, column, looked_up, opened, stored, text_key
-
-#: The bit map has two to this power bits, whatever the benchmark's size. It only
-#: saves joins: fingerprints that pass are compared in full.
-MAP_BITS = 26
+from .store import BitMap, by_text, column, looked_up, shared_map, stored, text_key
 
 FINGERPRINTS = pa.list_(pa.struct([("print", pa.int64()), ("at", pa.int32()), ("around", pa.list_(pa.int64()))]))
 FOUND = "key binary, n_words long, prints array<struct<print: long, at: int, around: array<long>>>"
@@ -53,7 +49,7 @@ def surroundings(hashes: np.ndarray, places: np.ndarray, low: np.ndarray, high:
     return np.where(inside, hashes[np.clip(at, 0, max(0, len(hashes) - 1))], np.uint64(0))
 
 
-def fingerprints(windows: list[int], bits: np.ndarray | None, whole_below: int | None):
+def fingerprints(windows: list[int], bits: BitMap | None, whole_below: int | None):
     """Per row its words and fingerprints; ``whole_below`` makes a shorter text one window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,8 +63,7 @@ def fingerprints(windows: list[int], bits: np.ndarray | None, whole_below: int |
                 if whole_below is not None and window < whole_below:
                     whole &= words.counts[row[: len(place)]] == window
                 if bits is not None:
-                    spot = least >> np.uint64(64 - MAP_BITS)
-                    whole &= (bits[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    whole &= bits.have(least)
                 chosen, first = np.unique(place[whole], return_index=True)
                 if not len(chosen):
                     continue
@@ -100,17 +95,6 @@ def fingerprints(windows: list[int], bits: np.ndarray | None, whole_below: int |
     return run
 
 
-def bit_map(prints: DataFrame) -> np.ndarray:
-    """Bits of the leading ``MAP_BITS`` bits of each fingerprint, as bytes."""
-    spot = F.shiftrightunsigned("print", 64 - MAP_BITS)
-    maps = prints.select(F.floor(spot / 32768).cast("long").alias("bucket"), F.pmod(spot, F.lit(32768)).alias("spot"))
-    maps = maps.groupBy("bucket").agg(F.bitmap_construct_agg("spot").alias("bits"))
-    bits = np.zeros(2**MAP_BITS // 8, np.uint8)
-    for bucket, part in maps.collect():  # at most 2**MAP_BITS / 32768 rows of 4 kB
-        bits[bucket * 4096 : (bucket + 1) * 4096] = np.frombuffer(part, np.uint8)
-    return bits
-
-
 def agreeing(ours: Column, theirs: Column, window: int, k: int, step: int) -> Column:
     """Words in a row that agree beside the k-gram, to the left (-1) or right (1)."""
     base = window - k if step < 0 else window + 1
@@ -147,7 +131,6 @@ def find_passages(
     listed. Repeated items or rows: each row gets the marks of its text. Long texts are
     searched whole, an Arrow slice at a time.
     """
-    spark = docs.sparkSession
     items = benchmark.select(column(item_id).cast("string").alias("item"), text_key(column(item_text)).alias("key"), column(item_text).cast("string").alias("text"))
     lengths = list(range(1, window + 1))
     prints = items.select("key", "text").dropDuplicates(["key"]).mapInArrow(fingerprints(lengths, None, window), FOUND)
@@ -155,11 +138,8 @@ def find_passages(
     # An item's windows are all of one length, told by the surroundings' length 2 * window - k.
     known = {2 * n - gram(n): n for n in lengths}
     present = sorted(known[r[0]] for r in prints.select(F.size("around")).distinct().collect())
-    bits = spark.sparkContext.broadcast(bit_map(prints))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return fingerprints(present, bits.value, None)(batches)
-
+    # The map only saves joins: fingerprints that pass it are compared in full.
+    search = fingerprints(present, shared_map(prints.select(F.col("print").alias("bits"))), None)
     named = docs.select(text_key(column(text)).alias("key"), column(text).cast("string").alias("text"))
     found = stored(named.mapInArrow(search, FOUND), "fingerprints")
     meetings = found.select("key", F.explode("prints").alias("p")).select("key", F.col("p.print").alias("print"), "p.at", F.col("p.around").alias("ours"))
@@ -193,13 +173,12 @@ def find_passages(
     )
     listed = items.select(F.col("key").alias("item_key"), "item").filter("item IS NOT NULL").distinct()
     named_items = hits.select("key", "item_key").distinct().join(listed, "item_key").groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    marks = found.groupBy("key").agg(F.max("n_words").alias("n_words")).join(spans, "key", "left").join(named_items, "key", "left").withColumnRenamed("key", "mark")
-    rows = opened(docs, key=text_key(column(text)))
-    rows = rows.join(marks, rows["key"] == marks["mark"], "left")
+    marks = found.groupBy("key").agg(F.max("n_words").alias("n_words")).join(spans, "key", "left").join(named_items, "key", "left")
     n_hit = F.coalesce(F.aggregate("hits", F.lit(0), lambda n, s: n + s["end"] - s["start"]), F.lit(0)).cast("long")
-    return closed(
-        rows,
-        docs.columns,
+    return by_text(
+        docs,
+        marks,
+        text,
         n_words=F.col("n_words"),
         n_hit=n_hit,
         hits=F.coalesce("hits", no_span),
