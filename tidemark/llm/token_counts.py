@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .frequencies import HEAD, distinct_words, summed
 from .pretokens import Classes, Pretokens
-from .store import closed, column, opened, stored, text_key
+from .store import by_text, column, stored, text_key
 
 
 class Pieces:
@@ -73,8 +73,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, text: str = "text", limit:
 
     distinct = distinct_words(named.withColumn("chosen", F.lit(True)), split).select("word", "n")
     pretokens = stored(distinct.mapInArrow(piece_counts, "word string, n long, pieces long"), "pretokens")
-    counts = summed(named, split, pretokens, ["pieces"], head).select(F.col("key").alias("counted"), F.col("pieces").cast("long").alias("tokens"))
-    rows = opened(docs, key=text_key(column(text)), bytes=F.coalesce(F.octet_length(column(text)), F.lit(0)).cast("long"))
-    rows = rows.join(counts, rows["key"] == counts["counted"], "left")
+    counts = summed(named, split, pretokens, ["pieces"], head).select("key", F.col("pieces").cast("long").alias("tokens"))
+    size = F.coalesce(F.octet_length(F.col(f"in{docs.columns.index(text)}")), F.lit(0)).cast("long")
     over = F.col("tokens") > limit if limit is not None else F.lit(False)
-    return closed(rows, docs.columns, n_bytes=F.col("bytes"), n_tokens=F.col("tokens"), over_limit=over)
+    return by_text(docs, counts, text, n_bytes=size, n_tokens=F.col("tokens"), over_limit=over)
