@@ -123,7 +123,7 @@ def train(
     return SCALE * (vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float64), float(bias[1] - bias[0])
 
 
-def fit(docs: DataFrame, labels: DataFrame, training: Column, *, doc_id: str, text: str, label: str, sample_rows: int) -> tuple[np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, training: Column, *, doc_id: str, text: str, label: str, sample_rows: int, steps: int) -> tuple[np.ndarray, float]:
     """Train on at most ``sample_rows`` labelled rows of ``training``, chosen by a hash of the id."""
     known = labels.select(column(doc_id).alias("id"), column(label).cast("int").alias("label")).filter("id IS NOT NULL AND label IN (0, 1)")
     known = known.groupBy("id").agg(F.max("label").alias("label"))
@@ -155,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, *, doc_id: str, te
         known = np.array([x[1] for x in found], np.int64)
         table, bias = np.zeros(1 << BUCKET_BITS), 0.0
         if len(set(known.tolist())) == 2:
-            table, bias = train([x[2:] for x in found], known)
+            table, bias = train([x[2:] for x in found], known, steps=steps)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(table)), -1)), pa.array(np.append(table, bias))], names=["bucket", "value"])
 
     model = bagged.repartition(1).mapInArrow(learned, "bucket long, value double").toPandas().drop_duplicates("bucket").sort_values("bucket")
@@ -172,6 +172,7 @@ def toxicity_scores(
     text: str = "text",
     label: str = "toxic",
     sample_rows: int = SAMPLE_ROWS,
+    steps: int = 2_000,
 ) -> DataFrame:
     """Documents with ``toxic_score`` (0 to 1) and ``toxic`` (1 from 0.5 up).
 
@@ -185,7 +186,7 @@ def toxicity_scores(
     Repeated rows and long texts: whole, each by its text.
     """
     spark = docs.sparkSession
-    table, bias = fit(docs, labels, training, doc_id=doc_id, text=text, label=label, sample_rows=sample_rows)
+    table, bias = fit(docs, labels, training, doc_id=doc_id, text=text, label=label, sample_rows=sample_rows, steps=steps)
     if not table.any():
         bias = -1e-9
     model = spark.sparkContext.broadcast(table)
