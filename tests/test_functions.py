@@ -53,15 +53,15 @@ def test_golden_days(spark, text):
 
 
 def test_epochs_and_zones(spark):
-    at = d.from_unixtimestamp(F.lit(1623076520))
-    assert one(spark, at.cast("string")) == "2021-06-07 14:35:20"
-    assert one(spark, d.to_unixtimestamp(at)) == 1623076520
-    local = d.convert_timezone(at, "America/Los_Angeles")
-    assert one(spark, local.cast("string")) == "2021-06-07 07:35:20"
-    assert one(spark, d.round_timestamp(at).cast("string")) == "2021-06-08 00:00:00"
-    assert one(spark, d.round_timestamp(local).cast("string")) == "2021-06-07 00:00:00"
-    millis = d.from_unixtimestamp(F.lit(1623076520123), "milliseconds")
-    assert one(spark, millis.cast("string")) == "2021-06-07 14:35:20.123"
+    at = d.from_unixtimestamp(F.lit(1700000000))
+    assert one(spark, at.cast("string")) == "2023-11-14 22:13:20"
+    assert one(spark, d.to_unixtimestamp(at)) == 1700000000
+    local = d.convert_timezone(at, "Pacific/Pago_Pago")
+    assert one(spark, local.cast("string")) == "2023-11-14 11:13:20"
+    assert one(spark, d.round_timestamp(at).cast("string")) == "2023-11-15 00:00:00"
+    assert one(spark, d.round_timestamp(local).cast("string")) == "2023-11-14 00:00:00"
+    millis = d.from_unixtimestamp(F.lit(1700000000250), "milliseconds")
+    assert one(spark, millis.cast("string")) == "2023-11-14 22:13:20.25"
     with pytest.raises(ValueError):
         d.from_unixtimestamp(F.lit(1), "weeks")
 

@@ -42,11 +42,11 @@ def test_unpivot_keeps_nulls_and_drops_removed_columns(spark):
 
 
 def test_union_relations(spark):
-    a = spark.createDataFrame([(1, "x", "red")], "id int, name string, favorite_color string")
-    b = spark.createDataFrame([(2, "y", 7)], "ID bigint, name string, favorite_number int")
+    a = spark.createDataFrame([(1, "x", "tea")], "id int, name string, cargo string")
+    b = spark.createDataFrame([(2, "y", 7)], "ID bigint, name string, tons int")
     u = r.union_relations({"a": a, "b": b})
-    assert u.columns == ["_source_relation", "id", "name", "favorite_color", "favorite_number"]
-    assert tuples(u) == [("a", 1, "x", "red", None), ("b", 2, "y", None, 7)]
+    assert u.columns == ["_source_relation", "id", "name", "cargo", "tons"]
+    assert tuples(u) == [("a", 1, "x", "tea", None), ("b", 2, "y", None, 7)]
     assert dict(u.dtypes)["id"] == "int"
     over = r.union_relations({"a": a, "b": b}, include=["id"], column_override={"ID": "string"}, source_column_name=None)
     assert over.dtypes == [("id", "string")]
