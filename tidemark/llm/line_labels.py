@@ -203,14 +203,18 @@ def fit(features: list[np.ndarray], labels: np.ndarray, *, steps: int = 150, rat
 
 
 def learned(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: str, sample_rows: int) -> np.ndarray:
-    """Fit the field to at most ``sample_rows`` labelled rows, chosen by a hash of the id."""
+    """Fit the field to at most ``sample_rows`` labelled ids, chosen by a hash of the id, a text each.
+
+    An id with several rows gives its smallest text that is not empty, whose copies meet before the shuffle.
+    """
     known = labels.select(column(doc_id).alias("id"), column(label).cast("int").alias("label")).filter("id IS NOT NULL AND label IN (0, 1)")
     known = known.groupBy("id").agg(F.max("label").alias("label"))
     by_hash = [F.xxhash64(F.lit("sample"), "id"), F.col("id")]
     halves = [known.filter(F.col("label") == v).orderBy(*by_hash).limit(sample_rows // 2) for v in (0, 1)]
     chosen = stored(halves[0].unionByName(halves[1]), "sample")
     texts = docs.select(column(doc_id).alias("doc"), column(text).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), texts["doc"] == chosen["id"]).select(F.col("id").cast("string").alias("id"), "label", "text")
+    rows = texts.join(F.broadcast(chosen), texts["doc"] == chosen["id"])
+    rows = rows.groupBy("id", "label").agg(F.min(F.nullif("text", F.lit(""))).alias("text")).withColumn("id", F.col("id").cast("string"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -258,7 +262,8 @@ def label_lines(
 
     Empty table: empty. Null and empty texts: no words, failed. Without rows of both
     labels every line is content. Ties go to content. Null ids are never learned from;
-    conflicting labels: the higher one. Repeated rows and long texts: whole, by the text.
+    conflicting labels: the higher one. Repeated rows and long texts: whole, by the text;
+    learned from once per id, by its smallest text that is not empty.
     """
     spark = docs.sparkSession
     theta = spark.sparkContext.broadcast(learned(docs, labels, doc_id=doc_id, text=text, label=label, sample_rows=sample_rows))

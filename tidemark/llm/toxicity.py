@@ -124,7 +124,10 @@ def train(
 
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, *, doc_id: str, text: str, label: str, sample_rows: int, steps: int) -> tuple[np.ndarray, float]:
-    """Train on at most ``sample_rows`` labelled rows of ``training``, chosen by a hash of the id."""
+    """Train on at most ``sample_rows`` labelled ids of ``training``, chosen by a hash of the id, a text each.
+
+    An id with several rows gives its smallest text that is not empty, whose copies meet before the shuffle.
+    """
     known = labels.select(column(doc_id).alias("id"), column(label).cast("int").alias("label")).filter("id IS NOT NULL AND label IN (0, 1)")
     known = known.groupBy("id").agg(F.max("label").alias("label"))
     learn = docs.filter(F.coalesce(training, F.lit(False))).select(column(doc_id).alias("doc"), column(text).cast("string").alias("text"))
@@ -133,7 +136,8 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, *, doc_id: str, te
     toxic = known.filter("label = 1").orderBy(*by_hash).limit(sample_rows // 3)
     clean = known.filter("label = 0").orderBy(*by_hash).limit(sample_rows - sample_rows // 3)
     chosen = stored(toxic.unionByName(clean), "sample")
-    rows = learn.join(F.broadcast(chosen), learn["doc"] == chosen["id"]).select("id", "label", "text")
+    rows = learn.join(F.broadcast(chosen), learn["doc"] == chosen["id"])
+    rows = rows.groupBy("id", "label").agg(F.min(F.nullif("text", F.lit(""))).alias("text"))
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -177,13 +181,14 @@ def toxicity_scores(
     """Documents with ``toxic_score`` (0 to 1) and ``toxic`` (1 from 0.5 up).
 
     Learns from labelled rows that ``training``, a column of ``docs``, chooses: at most
-    ``sample_rows``, a third of them toxic. Only the text is an input of a score. Returns the
-    input's columns and the two, which replace columns of these names.
+    ``sample_rows``, a third of them toxic, and one per id, the smallest text that is not
+    empty. Only the text is an input of a score. Returns the input's columns and the two,
+    which replace columns of these names.
 
     Empty table: empty. Null and empty texts: the bias alone, toxic only if it says so.
     No labelled rows, or rows of one label only: every score is 0.5 less a hair, not toxic.
     Null and conflicting labels: no label; the higher one. Null ids are never learned from.
-    Repeated rows and long texts: whole, each by its text.
+    Repeated rows and long texts: whole, each by its text; learned from once per id.
     """
     spark = docs.sparkSession
     table, bias = fit(docs, labels, training, doc_id=doc_id, text=text, label=label, sample_rows=sample_rows, steps=steps)
