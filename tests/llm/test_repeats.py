@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_labels, toxicity
+from tidemark.llm import frequencies, line_labels, toxicity
+from tidemark.llm.batches import NOT_SPACE, Words
+from tidemark.llm.store import stored, text_key
 
 DOCS = "doc_id long, text string"
 WORDS = "calm river stone garden window paper letter morning kitchen bottle".split()
@@ -35,3 +37,15 @@ def test_repeated_ids_are_learned_from_once_by_the_line_labels(learning):
     names = {"doc_id": "doc_id", "text": "text", "label": "quality", "sample_rows": 40}
     theta, theta_often = [line_labels.learned(d, labels, **names) for d in (once, often)]
     assert theta.any() and np.array_equal(theta, theta_often)
+
+
+def test_long_words_are_counted_but_not_collected(spark):
+    long = "x" * 257
+    given = [(f"{long} a {long} y{i}",) for i in range(30)] + [("a a b",)]
+    named = spark.createDataFrame(given, "text string").select(text_key(F.col("text")).alias("key"), "text", F.lit(True).alias("chosen"))
+    split = lambda texts: Words(texts, NOT_SPACE)
+    words = stored(frequencies.distinct_words(named, split).withColumn("size", F.octet_length("word")), "words")
+    head = {r["word"] for r in frequencies.frequent(words, 5).collect()}
+    assert head == {"a"}  # 32 times; 60 times is too long, once too many
+    sums = frequencies.summed(named, split, words, ["size"], head=5).select("n_words", "size").collect()
+    assert sorted((r["n_words"], r["size"]) for r in sums) == sorted([(3, 3)] + [(4, 2 * 257 + 1 + len(f"y{i}")) for i in range(30)])

@@ -19,6 +19,8 @@ from .store import stored
 
 #: Words in the broadcast table at most.
 HEAD = 1 << 18
+#: Bytes of a word in it at most; a longer one goes through the join, however frequent.
+HEAD_BYTES = 256
 
 
 def hashes_of(split) -> np.ndarray:
@@ -43,7 +45,8 @@ def distinct_words(named: DataFrame, split: Callable) -> DataFrame:
 
 
 def frequent(words: DataFrame, limit: int) -> DataFrame:
-    """Rows of the highest ``n``, at most ``limit``, cut at a power of two."""
+    """Rows of the highest ``n``, at most ``limit``, cut at a power of two, of words up to ``HEAD_BYTES``."""
+    words = words.filter(F.octet_length("word") <= HEAD_BYTES)
     power = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
     sizes = dict(words.groupBy(power.alias("power")).count().collect())  # a row per power of two
     cut, total = 62, 0
