@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import frequencies, line_labels, toxicity
+from tidemark.llm import frequencies, line_labels, toxicity, winnowing
 from tidemark.llm.batches import NOT_SPACE, Words
 from tidemark.llm.store import stored, text_key
 
@@ -49,3 +49,37 @@ def test_long_words_are_counted_but_not_collected(spark):
     assert head == {"a"}  # 32 times; 60 times is too long, once too many
     sums = frequencies.summed(named, split, words, ["size"], head=5).select("n_words", "size").collect()
     assert sorted((r["n_words"], r["size"]) for r in sums) == sorted([(3, 3)] + [(4, 2 * 257 + 1 + len(f"y{i}")) for i in range(30)])
+
+
+def test_a_common_phrase_makes_no_pairs(spark, monkeypatch):
+    # A phrase of six words in all items and documents; a few share a whole window, and a short item too.
+    phrase = "and so on and so forth"
+    item = lambda i: f"i{i}a i{i}b i{i}c i{i}d {phrase} i{i}e i{i}f i{i}g i{i}h"
+    items = [(i, item(i)) for i in range(40)] + [(40, item(3)), (41, "so on")]
+    docs = [(i, f"d{i} d{i} {phrase} d{i} d{i} d{i} d{i} d{i}") for i in range(40)] + [(40, f"start {item(3)} end"), (41, f"{item(5)} {item(6)}")]
+    met = []
+
+    def recorded(rows, table, key, spread, looked_up=winnowing.looked_up):
+        met.append((table, rows.count()))
+        return looked_up(rows, table, key, spread)
+
+    monkeypatch.setattr(winnowing, "looked_up", recorded)
+    out = {r["doc_id"]: r for r in winnowing.find_passages(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()}
+
+    listed = {str(i): t.split() for i, t in items}
+    for i, text in docs:
+        words = text.split()
+        inside, named = set(), set()
+        for name, of in listed.items():
+            n = min(10, len(of))
+            for a in range(len(of) - n + 1):
+                for b in range(len(words) - n + 1):
+                    if words[b : b + n] == of[a : a + n]:
+                        inside |= set(range(b, b + n))
+                        named.add(name)
+        assert (out[i]["n_hit"], out[i]["items"]) == (len(inside), sorted(named))
+        assert {w for a, b in out[i]["hits"] for w in range(a, b)} == inside
+    ((table, rows),) = met
+    # A row of the lookup table adds none to what it meets and holds no list that grows with the items.
+    assert "array" not in table.schema.simpleString() and table.count() == table.select("window").distinct().count()
+    assert rows < 40 * 40

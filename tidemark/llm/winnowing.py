@@ -2,8 +2,8 @@
 
 Of every window of consecutive words the smallest k-gram hash is kept as a
 fingerprint, so two texts that share a whole window share one. Documents pass a bit
-map of the benchmark's fingerprints, are joined with them, and each meeting is
-extended word by word to both sides; it counts when a whole window agrees.
+map of the benchmark's fingerprints; the whole windows around those that pass are
+joined with the benchmark's, and those that agree are merged to passages.
 """
 
 from __future__ import annotations
@@ -95,17 +95,21 @@ def fingerprints(windows: list[int], bits: BitMap | None, whole_below: int | Non
     return run
 
 
-def agreeing(ours: Column, theirs: Column, window: int, k: int, step: int) -> Column:
-    """Words in a row that agree beside the k-gram, to the left (-1) or right (1)."""
-    base = window - k if step < 0 else window + 1
-    steps = F.sequence(F.lit(1), F.lit(window - k))
+def windows_around(around: Column, lengths: list[int]) -> Column:
+    """The whole windows with a fingerprint's k-gram in them, as ``(shift, n, window)``: its place less the window's, its words, 128 bits for these."""
 
-    def same(i: Column) -> Column:
-        at = (F.lit(base) + step * (i - 1)).cast("int")
-        word = F.element_at(ours, at)
-        return (word == F.element_at(theirs, at)) & (word != 0)
+    def of(n: int) -> Column:
+        def one(shift: Column) -> Column:
+            words = F.slice(around, F.lit(n - gram(n) + 1) - shift, n)
+            hashed = F.struct(F.xxhash64(words).alias("h0"), F.xxhash64(F.lit("window"), words).alias("h1"))
+            return F.struct(shift.alias("shift"), F.lit(n).alias("n"), F.when(~F.array_contains(words, F.lit(0).cast("long")), hashed).alias("window"))
 
-    return F.aggregate(steps, F.lit(0), lambda n, i: F.when((n == i - 1) & same(i), i).otherwise(n)) if window > k else F.lit(0)
+        return F.transform(F.sequence(F.lit(0), F.lit(n - gram(n))), one)
+
+    found = F.lit(None)
+    for n in lengths:
+        found = F.when(F.size(around) == 2 * n - gram(n), of(n)).otherwise(found)
+    return F.filter(found, lambda w: w["window"].isNotNull())
 
 
 def find_passages(
@@ -142,22 +146,21 @@ def find_passages(
     search = fingerprints(present, shared_map(prints.select(F.col("print").alias("bits"))), None)
     named = docs.select(text_key(column(text)).alias("key"), column(text).cast("string").alias("text"))
     found = stored(named.mapInArrow(search, FOUND), "fingerprints")
-    meetings = found.select("key", F.explode("prints").alias("p")).select("key", F.col("p.print").alias("print"), "p.at", F.col("p.around").alias("ours"))
-    by_print = prints.groupBy("print").agg(F.collect_set(F.struct(F.col("key").alias("item_key"), "around")).alias("theirs"))
-    met = looked_up(meetings, by_print, "print", F.struct("key", "at")).select("key", "at", "ours", F.explode("theirs").alias("t"))
-    met = met.filter(F.size("ours") == F.size("t.around"))
-    hits = None
-    for n in present:
-        k = gram(n)
-        mine = met.filter(F.size("ours") == 2 * n - k)
-        left = agreeing(F.col("ours"), F.col("t.around"), n, k, -1)
-        right = agreeing(F.col("ours"), F.col("t.around"), n, k, 1)
-        middle = F.slice("ours", n - k + 1, k) == F.slice("t.around", n - k + 1, k)
-        mine = mine.filter(middle).select("key", "t.item_key", (F.col("at") - left).alias("start"), (F.col("at") + k + right).alias("end"))
-        mine = mine.filter(F.col("end") - F.col("start") >= n)
-        hits = mine if hits is None else hits.unionByName(mine)
-    if hits is None:
-        hits = found.limit(0).select("key", F.col("key").alias("item_key"), F.lit(0).alias("start"), F.lit(0).alias("end"))
+    # Whole windows meet, not pairs of fingerprints: a document's window makes one row, however many items have it.
+    if present:
+        theirs = prints.select(F.col("key").alias("item_key"), F.explode(windows_around(F.col("around"), present)).alias("w"))
+        theirs = stored(theirs.select("w.window", "item_key").distinct(), "windows")
+        # Windows of the same items are named alike, by hashes that add up in any order.
+        alike = F.struct(F.bit_xor(F.xxhash64("item_key")).alias("h0"), F.bit_xor(F.xxhash64(F.lit("items"), "item_key")).alias("h1"))
+        named_windows = stored(theirs.groupBy("window").agg(alike.alias("item_set")), "sets")
+        members = stored(theirs.join(named_windows, "window").select("item_set", "item_key").distinct(), "members")
+        ours = found.select("key", F.explode("prints").alias("p")).select("key", "p.at", F.explode(windows_around(F.col("p.around"), present)).alias("w"))
+        ours = ours.select("key", (F.col("at") - F.col("w.shift")).alias("start"), F.col("w.n").alias("n"), F.col("w.window").alias("window"))
+        met = looked_up(ours, named_windows, "window", F.struct("key", "start")).filter(F.col("item_set").isNotNull())
+        hits = met.select("key", "item_set", "start", (F.col("start") + F.col("n")).alias("end"))
+    else:
+        members = items.limit(0).select(F.lit("").alias("item_set"), F.col("key").alias("item_key"))
+        hits = found.limit(0).select("key", F.lit("").alias("item_set"), F.lit(0).alias("start"), F.lit(0).alias("end"))
     hits = stored(hits.distinct(), "hits")
 
     def merge(spans: Column, span: Column) -> Column:
@@ -172,7 +175,7 @@ def find_passages(
         "key", F.aggregate("spans", no_span, merge).alias("hits")
     )
     listed = items.select(F.col("key").alias("item_key"), "item").filter("item IS NOT NULL").distinct()
-    named_items = hits.select("key", "item_key").distinct().join(listed, "item_key").groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    named_items = hits.select("key", "item_set").distinct().join(members, "item_set").select("key", "item_key").distinct().join(listed, "item_key").groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
     marks = found.groupBy("key").agg(F.max("n_words").alias("n_words")).join(spans, "key", "left").join(named_items, "key", "left")
     n_hit = F.coalesce(F.aggregate("hits", F.lit(0), lambda n, s: n + s["end"] - s["start"]), F.lit(0)).cast("long")
     return by_text(
