@@ -126,7 +126,9 @@ def balanced_shards(
 
     Empty table: empty. Null text: no bytes, in one group with the empty texts. Null and
     repeated ids: rows are placed by text and numbered one by one. A group larger than a
-    shard's part is still whole. Slots are numbered in buckets of about ``bucket`` rows.
+    shard's part is still whole. Slots are numbered in buckets of about ``bucket`` rows, by a
+    hash of id and text: rows equal in both (null ids as well) are in one bucket, however many,
+    and one task numbers them. Copies under different ids are spread.
     """
     given = F.coalesce(column(text), F.lit(""))
     rows = opened(docs, id=column(doc_id), key=text_key(column(text)), size=(F.octet_length(given) + overhead).cast("long"), crc=F.crc32(given.cast("binary")))
