@@ -6,6 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.catalog import QUERIES
 from tidemark.functions import dates as d
 from tidemark.functions import scalars as s
 from tidemark.operators.calendar import get_date_dimension, get_fiscal_periods, get_fiscal_year_dates
@@ -232,3 +233,10 @@ def test_metric_expression(spark):
     assert one(spark, s.metric_expression(F.lit(None).cast("double"), False)) == 0
     assert one(spark, s.log_natural(F.lit(-1.0))) is None
     assert 0 <= one(spark, s.random_uniform(1)) < 1
+
+
+def test_a_few_equal_draws_are_different_enough(spark, monkeypatch, tmp_path):
+    spark.range(1000).write.parquet(f"{tmp_path}/events.parquet")
+    for draw, different in ((F.greatest("id", F.lit(1)) / 1001, True), (F.floor(F.col("id") / 2) / 1001, False)):
+        monkeypatch.setattr(s, "random_uniform", lambda seed, draw=draw: draw)
+        assert QUERIES["rand"](spark, str(tmp_path)).first()["all_different"] is different
