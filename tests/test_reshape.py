@@ -55,6 +55,18 @@ def test_union_relations(spark):
         r.union_relations({"a": a}, include=["id"], exclude=["name"])
 
 
+def test_a_union_refuses_lossy_numbers(spark):
+    def union(first, later, **given):
+        frames = {"a": spark.range(1).select(F.lit(1).cast(first).alias("x")), "b": spark.range(1).select(F.lit("2.7").cast("double").cast(later).alias("X"))}
+        return r.union_relations(frames, source_column_name=None, **given)
+
+    for first, later in (("int", "double"), ("bigint", "decimal(4,1)"), ("decimal(4,1)", "decimal(6,2)"), ("decimal(9,2)", "double"), ("float", "double"), ("double", "bigint")):
+        with pytest.raises(ValueError, match="without loss"):
+            union(first, later)
+    assert tuples(union("int", "double", column_override={"X": "double"})) == [(1.0,), (2.7,)]
+    assert tuples(union("double", "int")) == [(1.0,), (2.0,)] and tuples(union("int", "bigint")) == [(1,), (2,)]
+
+
 def test_relations_by_name(spark):
     for name in ("zeta_one", "zeta_two", "zeta_skip"):
         spark.range(1).createOrReplaceTempView(name)

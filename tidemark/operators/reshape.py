@@ -56,6 +56,19 @@ def nullcheck_table(df: DataFrame) -> DataFrame:
 # --- unions ------------------------------------------------------------------
 
 
+def _loses_digits(given: T.DataType, wanted: T.DataType) -> bool:
+    """Whether a numeric cast can change a value without notice; integers that do not fit are errors of their own."""
+    if not (isinstance(given, T.NumericType) and isinstance(wanted, T.NumericType)) or given == wanted:
+        return False
+    digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}.get(type(given))
+    if isinstance(wanted, T.IntegralType):
+        return not (isinstance(given, T.IntegralType) or (isinstance(given, T.DecimalType) and given.scale == 0))
+    if isinstance(wanted, T.DecimalType):
+        return digits is None and (not isinstance(given, T.DecimalType) or given.scale > wanted.scale)
+    exact = 15 if isinstance(wanted, T.DoubleType) else 6
+    return not isinstance(given, T.FloatType) and (digits is None or digits > exact)
+
+
 def union_relations(
     relations: Mapping[str, DataFrame],
     include: Sequence[str] = (),
@@ -66,7 +79,8 @@ def union_relations(
 ) -> DataFrame:
     """UNION ALL over the superset of columns; absent ones are null.
 
-    Columns come in first-seen order and take their first type, or the override.
+    Columns come in first-seen order and take their first type, or the override. A later
+    numeric type that the first can't hold without loss is refused unless it is overridden.
     """
     if include and exclude:
         raise ValueError("give include or exclude, not both")
@@ -74,12 +88,19 @@ def union_relations(
         raise ValueError("union_relations needs at least one relation")
     wanted, skipped = {c.lower() for c in include}, {c.lower() for c in exclude}
     types: dict[str, tuple[str, str]] = {}
-    for df in relations.values():
+    first: dict[str, T.DataType] = {}
+    overridden = {c.lower() for c in column_override or {}}
+    for label, df in relations.items():
         for field in df.schema.fields:
             key = field.name.lower()
             if key in skipped or (wanted and key not in wanted):
                 continue
             types.setdefault(key, (field.name, field.dataType.simpleString()))
+            wanted_type = first.setdefault(key, field.dataType)
+            if key not in overridden and _loses_digits(field.dataType, wanted_type):
+                raise ValueError(
+                    f"{label}.{field.name} is {field.dataType.simpleString()}, which {wanted_type.simpleString()} can't hold without loss; give column_override"
+                )
     for name, override in (column_override or {}).items():
         if name.lower() in types:
             types[name.lower()] = (types[name.lower()][0], override)
