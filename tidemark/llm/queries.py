@@ -216,3 +216,10 @@ def op4_partenum(spark: SparkSession, folder: str) -> DataFrame:
 
     found = similar_documents(table(spark, folder, "documents"), shingle=4, percent=85)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    from .spelling import spelling_variants
+
+    return spelling_variants(table(spark, folder, "documents"), drop_every=97)
