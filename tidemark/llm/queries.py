@@ -223,3 +223,13 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     from .spelling import spelling_variants
 
     return spelling_variants(table(spark, folder, "documents"), drop_every=97)
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from .alignment import align_tokens
+
+    found = align_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
