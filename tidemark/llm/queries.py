@@ -233,3 +233,12 @@ def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
 
     found = align_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query()
+def op12_subword_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from .quality import quality_scores
+
+    rest = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4))
+    scored = quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"), rest != 2)
+    return scored.select("doc_id", (rest == 2).alias("held_out"), F.col("quality_score").alias("score"), F.col("good").alias("predicted"))
