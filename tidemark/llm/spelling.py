@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -189,7 +190,7 @@ def neighbours(letters: np.ndarray, sizes: np.ndarray, lists: np.ndarray, shared
             cell = np.where(ahead == -1, less[stops], np.where(ahead == 0, same[stops], more[stops]))
             near = stops[(np.abs(ahead) <= 1) & (cell == 1)]
             yield start[near], query[near]
-            if depth == width:
+            if depth == width or not len(query):
                 break
             # Ranges of one character more: they begin at the words that share less with the one before.
             begins = np.flatnonzero(lcp[:-1] <= depth)
@@ -216,11 +217,14 @@ def _near_in(table: pa.Table) -> pa.Table:
     words = np.array([w.encode("latin-1") for w in table.column("word").to_pylist()], object)
     numbers = table.column("n").to_numpy()
     size, start, end = (table.column(c).to_numpy() for c in ("size", "start", "end"))
-    _, lists = np.unique(np.array(table.column("list").to_pylist(), object).astype(str), return_inverse=True)
+    _, lists, members = np.unique(pc.dictionary_encode(table.column("list").combine_chunks()).indices.to_numpy(), return_inverse=True, return_counts=True)
     found = []
     kinds, kind = np.unique(np.stack([size, start, end]), axis=1, return_inverse=True)
+    kind = np.where(members[lists] > 1, kind.ravel(), -1)  # a list of one word has no pair
     for k, (m, a, b) in enumerate(kinds.T.tolist()):
-        rows = np.flatnonzero(kind.ravel() == k)
+        rows = np.flatnonzero(kind == k)
+        if not len(rows):
+            continue
         # Words whose last part agrees are read from the end.
         flip = a == 0
         mine = np.array([w[::-1] for w in words[rows]] if flip else list(words[rows]), f"S{m}")
