@@ -181,6 +181,30 @@ def compacted_log(t):
     return ly.current_rows(t.spark, f"{root}/log", ["o_custkey"], f"{root}/snapshot", (0, 1))
 
 
+@query(
+    "log_upkeep",
+    "SELECT user_id, max(event_id) AS event_id, max_by(event_type, event_id) AS event_type, 4 AS batches_left FROM events GROUP BY 1",
+)
+def log_upkeep(t):
+    """Ten batches, compacted after the fourth and the eighth, old ones deleted: read from the last snapshot on."""
+    path = f"{new_folder(t.spark, 'upkeep')}/log"
+    for number in range(10):
+        batch = t.events.where(F.pmod(F.floor(F.col("event_id") / 7), F.lit(10)) == number)
+        latest = batch.groupBy("user_id").agg(F.max_by(F.struct("event_id", "event_type"), "event_id").alias("r"))
+        # Batches come in any order of events, so each takes on what the log has of its users.
+        if number:
+            known = ly.current_rows(t.spark, path, ["user_id"]).select("user_id", F.struct("event_id", "event_type").alias("r"))
+            latest = latest.unionByName(known).groupBy("user_id").agg(F.max("r").alias("r"))
+        ly.write_batch(latest.select("user_id", "r.*"), path, number)
+        if number in (3, 7):
+            ly.compact_log(t.spark, path, ["user_id"], (0, number))
+    ly.vacuum_log(t.spark, path, keep=2)
+    ly.compact_log(t.spark, path, ["user_id"])
+    ly.vacuum_log(t.spark, path, keep=2)
+    left = len(ly.committed_batches(t.spark, path)) + len(ly.published_snapshots(t.spark, path))
+    return ly.current_rows(t.spark, path, ["user_id"]).withColumn("batches_left", F.lit(left))
+
+
 @query(
     "incremental_upsert_model",
     """

@@ -8,7 +8,9 @@ when a checkpoint is thrown away and batch ids start again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,10 @@ from ..functions.rules import any_of, is_missing
 from ..operators.reshape import latest_per_key
 
 POSITION = ["generation", "batch_id"]
-COMMIT = "generation int, batch_id long"
+#: Generation and number of a batch.
+Place = tuple[int, int]
+#: A commit of a batch has no snapshot; a published snapshot names the last batch it holds.
+COMMIT = "generation int, batch_id long, snapshot string"
 
 
 def batch_path(path: str, batch_id: int, generation: int = 0) -> str:
@@ -53,16 +58,45 @@ def add_batch(
 
 
 def commit_batch(spark: SparkSession, path: str, batch_id: int, generation: int = 0) -> None:
-    commit = spark.createDataFrame([(generation, batch_id)], COMMIT).coalesce(1)
+    _commit(spark, path, (generation, batch_id), None)
+
+
+def _commit(spark: SparkSession, path: str, at: Place, snapshot: str | None) -> None:
+    commit = spark.createDataFrame([(*at, snapshot)], COMMIT).coalesce(1)
     commit.write.mode("append").json(commits_path(path))
 
 
-def committed_batches(spark: SparkSession, path: str) -> list[tuple[int, int]]:
-    """Generation and number of every committed batch, in order."""
-    if commit_stream(spark, path) is None:
+def commits(spark: SparkSession, path: str) -> DataFrame | None:
+    """The commit log of a table, None if nothing is committed yet."""
+    try:
+        return spark.read.schema(COMMIT).json(commits_path(path))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def committed_batches(spark: SparkSession, path: str, after: Place | None = None) -> list[Place]:
+    """Generation and number of every committed batch, in order; of those after a place, if one is given.
+
+    ``compact_log`` and ``vacuum_log`` keep the log short: then it holds the batches of a few snapshots.
+    """
+    found = commits(spark, path)
+    if found is None:
         return []
-    rows = spark.read.schema(COMMIT).json(commits_path(path)).distinct().collect()  # a row per batch
-    return sorted((r[0], r[1]) for r in rows)
+    found = found.where("snapshot is null").select(*POSITION)
+    if after is not None:
+        found = found.where(_after(after))
+    return sorted((r[0], r[1]) for r in found.distinct().collect())  # a row per batch
+
+
+def published_snapshots(spark: SparkSession, path: str) -> list[tuple[Place, str]]:
+    """Place and folder of every published snapshot, the latest first."""
+    found = commits(spark, path)
+    if found is None:
+        return []
+    rows = found.where("snapshot is not null").distinct().collect()  # a row per snapshot kept
+    return sorted((((r[0], r[1]), r[2]) for r in rows), reverse=True)
 
 
 def read_batches(
@@ -82,17 +116,13 @@ def commits_path(path: str) -> str:
 def commit_stream(
     spark: SparkSession, path: str, max_files_per_batch: int | None = None
 ) -> DataFrame | None:
-    """Stream of a log's commits; None if nothing is committed yet."""
-    try:
-        spark.read.schema(COMMIT).json(commits_path(path))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """Stream of a log's committed batches; None if nothing is committed yet."""
+    if commits(spark, path) is None:
+        return None
     reader = spark.readStream.schema(COMMIT)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return reader.json(commits_path(path))
+    return reader.json(commits_path(path)).where("snapshot is null").select(*POSITION)
 
 
 def read_batch(spark: SparkSession, path: str, batch_id: int, generation: int = 0) -> DataFrame:
@@ -144,21 +174,89 @@ def _log_since(spark, path, snapshot_path, snapshot) -> DataFrame:
     if snapshot is None:
         return log
     generation, batch_id = snapshot
-    base = spark.read.parquet(batch_path(snapshot_path, batch_id, generation)).withColumns(
-        {"generation": F.lit(generation), "batch_id": F.lit(batch_id)}
-    )
+    base = _with_place(spark.read.parquet(batch_path(snapshot_path, batch_id, generation)), snapshot)
     return log.where(_after(snapshot)).unionByName(base, allowMissingColumns=True)
 
 
+def _with_place(rows: DataFrame, at: Place) -> DataFrame:
+    return rows.withColumns({"generation": F.lit(at[0]), "batch_id": F.lit(at[1])})
+
+
+def _committed_log(spark: SparkSession, path: str, upto: Place | None = None) -> DataFrame | None:
+    """The latest published snapshot and the batches committed after it; no other file is listed or read."""
+    snapshots = [s for s in published_snapshots(spark, path) if upto is None or s[0] <= upto]
+    at, folder = snapshots[0] if snapshots else (None, None)
+    batches = [b for b in committed_batches(spark, path, at) if upto is None or b <= upto]
+    parts = [_with_place(spark.read.parquet(folder), at)] if folder else []
+    if batches:
+        paths = [batch_path(path, batch_id, generation) for generation, batch_id in batches]
+        parts.append(spark.read.option("basePath", path).parquet(*paths))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts) if parts else None
+
+
 def current_rows(
     spark: SparkSession,
     path: str,
     keys: Sequence[str],
     snapshot_path: str | None = None,
-    snapshot: tuple[int, int] | None = None,
+    snapshot: Place | None = None,
 ) -> DataFrame:
-    """Latest row per key, from a snapshot and the batches after it."""
-    return latest_rows(_log_since(spark, path, snapshot_path, snapshot), keys)
+    """Latest row per key, from the latest published snapshot and the batches committed after it.
+
+    A snapshot of one's own, written by ``compact``, can be named instead.
+    """
+    log = _committed_log(spark, path) if snapshot is None else None
+    return latest_rows(_log_since(spark, path, snapshot_path, snapshot) if log is None else log, keys)
+
+
+def compact_log(spark: SparkSession, path: str, keys: Sequence[str], upto: Place | None = None) -> Place | None:
+    """Write the latest rows up to a batch (the last one committed) as a snapshot and publish it.
+
+    Reads the snapshot before and the batches after it. Files are sized by the rows they turn out to
+    hold. The snapshot is found by readers from its commit on, which is one small file: a run that
+    fails before leaves the table as it was. Returns the place of the snapshot that holds from then
+    on, None if the log is empty. A batch must not be changed any more once a snapshot holds it.
+    """
+    snapshots = published_snapshots(spark, path)
+    last = snapshots[0][0] if snapshots else None
+    batches = [b for b in committed_batches(spark, path, last) if upto is None or b <= upto]
+    if not batches:
+        return last
+    rows = latest_rows(_committed_log(spark, path, batches[-1]), keys)
+    generation, batch_id = batches[-1]
+    folder = f"{path}.snapshots/{generation}-{batch_id}-{uuid.uuid4().hex[:8]}"
+    rows.hint("rebalance").write.parquet(folder)
+    _commit(spark, path, batches[-1], folder)
+    return batches[-1]
+
+
+def vacuum_log(spark: SparkSession, path: str, keep: int = 2) -> Place | None:
+    """Delete what no reader of the ``keep`` latest snapshots needs: older snapshots, the batches they hold, their commits.
+
+    A reader that began before the oldest of these may miss its files, and so may a downstream hop that
+    has not yet taken a deleted batch: keep as many snapshots as the slowest of them is behind.
+    Returns the place up to which batches are gone, None if there are too few snapshots.
+    """
+    if keep < 1:
+        raise ValueError("at least one snapshot must be kept")
+    snapshots = published_snapshots(spark, path)
+    if len(snapshots) < keep:
+        return None
+    at, _ = snapshots[keep - 1]
+    named = commits(spark, path).select("*", F.col("_metadata.file_path").alias("file"))
+    here = (F.col("generation") == at[0]) & (F.col("batch_id") == at[1])
+    old = named.where(~_after(at) & (F.col("snapshot").isNull() | ~here))
+    found = old.collect()  # what earlier runs have left: the batches of one snapshot or a few
+    gone = {folder for place, folder in snapshots[keep:]} | {batch_path(path, r["batch_id"], r["generation"]) for r in found if not r["snapshot"]}
+    # Commits last: a run that fails between can be repeated.
+    for target in [*sorted(gone), *sorted({r["file"] for r in found})]:
+        _delete(spark, target)
+    return at
+
+
+def _delete(spark: SparkSession, target: str) -> None:
+    file = spark._jvm.org.apache.hadoop.fs.Path(target)
+    file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, True)
 
 
 def incremental_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
