@@ -17,6 +17,7 @@ from ..sources import layers as ly
 from ..sources.contract import contract_from, get_contract
 from ..sources.files import csv_stream_source, processed_file_ledger, table_stream_source
 from ..sources.folders import new_folder
+from ..sources.partitions import upsert_partitions
 from ..streaming import hops
 from .registry import query, text
 from .reshape import DATAMART_SQL, bronze_customers, bronze_sales, datamart
@@ -238,6 +239,29 @@ def incremental_silver_build(t):
     return mart.withColumn("data_venda", text("data_venda"))
 
 
+@query(
+    "partition_upsert_model",
+    """
+    WITH o AS (SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS d, o_custkey % 50 = 0 AND year(o_orderdate) = 1996 AS changed FROM orders),
+    n AS (SELECT o_orderkey, CASE WHEN changed THEN 0.0 ELSE o_totalprice END AS o_totalprice, changed,
+      year(d) + CASE WHEN changed AND o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS y FROM o)
+    SELECT o_orderkey, o_totalprice, y AS order_year, y IN (SELECT y FROM n WHERE changed UNION SELECT 1996 WHERE (SELECT count(*) FROM n WHERE changed) > 0) AS rewritten
+    FROM n
+    """,
+)
+def partition_upsert_model(t):
+    """Orders by year, then changes of one year, some into the next: the second run rewrites these two years only."""
+    path = f"{new_folder(t.spark, 'partitions')}/orders"
+    first = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("order_year"), "o_custkey")
+    upsert_partitions(first.drop("o_custkey"), path, "o_orderkey", "order_year", 1).publish()
+    changed = first.where("o_custkey % 50 = 0 and order_year = 1996").drop("o_custkey")
+    moved = F.when(F.col("o_orderkey") % 3 == 0, F.col("order_year") + 1).otherwise(F.col("order_year"))
+    second = upsert_partitions(changed.withColumns({"o_totalprice": F.lit(0.0), "order_year": moved}), path, "o_orderkey", "order_year", 2)
+    second.publish()
+    new = [int(year) for year, folder in second.parts.items() if "/run=2-" in folder]
+    return second.rows().withColumn("rewritten", F.col("order_year").isin(new))
+
+
 @query("clustered_table_model", DATAMART_SQL)
 def clustered_table_model(t):
     root = new_folder(t.spark, "clustered")

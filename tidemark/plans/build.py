@@ -4,24 +4,23 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dates, rules
 from ..operators import table_tests as tt
 from ..operators.suite import Check, Result, run_checks, test_result
-from ..sources.layers import (
-    add_batch,
-    clustered_write,
-    commit_batch,
-    committed_batches,
-    latest_rows,
-    read_batches,
-)
+from ..sources.layers import clustered_write
+from ..sources.partitions import manifest, upsert_partitions, vacuum_partitions
 from .models import sales_datamart, silver_customers, silver_sales
 from .report import STATUSES
 
 
+#: Table, key and date of the silver models.
+SILVER = {"customers": ("cl_clientes", "cliente_id", "data_cadastro"), "sales": ("ft_vendas", "venda_id", "data_venda")}
+
+
 class ModelTestsFailed(Exception):
     """A layer holds rows its tests refuse."""
 
@@ -81,33 +80,44 @@ def build_models(
 ) -> DataFrame:
     """Upsert bronze rows into the silver models, test these, then rebuild and test the gold table.
 
-    A run adds its latest row per key as one batch to each silver log, few files per
-    date, and leaves the rest as it is; the current row of a key is that of the last
-    run that brought it. A batch is committed when the tests of the run have passed,
-    so a failed run changes nothing for readers or later runs. The silver logs are
-    partitioned by their dates, or by the ``granularity`` of these where days hold little.
+    A run brings its latest row per key to each silver model, which is partitioned by its date, or by
+    the ``granularity`` of it where days hold little. Only the partitions are read and written anew
+    that hold one of its keys or get one; the others keep their files. The partitions are published
+    when the tests of the run have passed, so a failed run changes nothing for readers or later
+    runs. ``run`` counts up; a run that is repeated starts from the one before it.
     """
     spark = customers.sparkSession
-
-    def upserted(model: DataFrame, name: str, key: str, partition: str) -> DataFrame:
-        path = f"{root}/{name}"
-        columns = model.columns
-        if granularity != "day":
-            period = dates.truncate(granularity, partition).cast("date")
-            partition = f"{partition}_{granularity}"
-            model = model.withColumn(partition, period)
-        # Partitions of the date are split or joined by the size they turn out to have.
-        add_batch(model.hint("rebalance", partition), path, run, partition_by=[partition])
-        batches = sorted({*(b for _, b in committed_batches(spark, path)), run})
-        return latest_rows(read_batches(spark, path, batches, model.schema), [key]).select(*columns)
-
-    silver = upserted(silver_customers(customers), "cl_clientes", "cliente_id", "data_cadastro")
-    facts = upserted(silver_sales(sales), "ft_vendas", "venda_id", "data_venda")
+    updates = []
+    for model, (name, key, date) in ((silver_customers(customers), SILVER["customers"]), (silver_sales(sales), SILVER["sales"])):
+        column, rows = _partition(model, date, granularity)
+        updates.append(upsert_partitions(rows, f"{root}/{name}", key, column, run))
+    silver, facts = (u.rows().drop(u.partition) if u.partition.startswith("_") else u.rows() for u in updates)
     require(silver_tests(silver, facts))
     path = f"{root}/datamart_resumo_vendas_cliente/run={run}"
     clustered_write(sales_datamart(facts, silver), path, ["cliente_id", "data_venda"])
     mart = spark.read.parquet(path)
     require(gold_tests(mart))
-    for name in ("cl_clientes", "ft_vendas"):
-        commit_batch(spark, f"{root}/{name}", run)
+    for update in updates:
+        update.publish()
     return mart
+
+
+def _partition(model: DataFrame, date: str, granularity: str) -> tuple[str, DataFrame]:
+    """The partition column and the model with it: the date itself, or the period it lies in."""
+    if granularity == "day" and isinstance(model.schema[date].dataType, T.DateType):
+        return date, model
+    name = f"_{date}_{granularity}"
+    return name, model.withColumn(name, dates.truncate(granularity, date).cast("date"))
+
+
+def vacuum_models(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Delete partitions of the silver models that only runs before the ``keep`` latest read; returns how many."""
+    gone = 0
+    for name, _, date in SILVER.values():
+        path = f"{root}/{name}"
+        parts = manifest(spark, path)
+        # The folders tell by which column a model is partitioned.
+        found = {c for f in set(parts.values()) for c in spark.read.option("basePath", f).parquet(f).columns if c == date or c.startswith(f"_{date}_")}
+        column = next((c for c in sorted(found) if c != date), date)
+        gone += vacuum_partitions(spark, path, column, keep)
+    return gone

@@ -209,6 +209,26 @@ def current_rows(
     return latest_rows(_log_since(spark, path, snapshot_path, snapshot) if log is None else log, keys)
 
 
+def log_rows(spark: SparkSession, path: str, after: Place | None = None) -> DataFrame:
+    """Rows of the batches committed after a place; without one, or where some are gone, from the latest snapshot on.
+
+    Rows come without their place; a key has a row per batch that brought it.
+    """
+    snapshots = published_snapshots(spark, path)
+    if after is None or (snapshots and snapshots[0][0] > after and not _still_there(spark, path, after)):
+        return _committed_log(spark, path).drop(*POSITION)
+    batches = committed_batches(spark, path, after)
+    if not batches:
+        return _committed_log(spark, path).drop(*POSITION).limit(0)
+    paths = [batch_path(path, batch_id, generation) for generation, batch_id in batches]
+    return spark.read.option("basePath", path).parquet(*paths).drop(*POSITION)
+
+
+def _still_there(spark: SparkSession, path: str, after: Place) -> bool:
+    """Whether all batches after a place are still in the log: the place's own commit has not been deleted."""
+    return after in committed_batches(spark, path)
+
+
 def compact_log(spark: SparkSession, path: str, keys: Sequence[str], upto: Place | None = None) -> Place | None:
     """Write the latest rows up to a batch (the last one committed) as a snapshot and publish it.
 
