@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import expect_values as ev
 from tidemark.operators import joins as j
 from tidemark.operators import table_tests as tt
-from tidemark.operators.ordered import cut_points, exact_quantile, with_neighbour, with_range
+from tidemark.operators.ordered import exact_quantile, ranged, with_codes, with_neighbour
 from tidemark.plans.quality import flag_duplicates_in_batch
 
 
@@ -36,8 +36,7 @@ def test_neighbour_equals_brute_force(spark, ranges, ahead, grouped):
     rows = hot_rows()
     df = spark.createDataFrame(rows, "id int, g string, o int, v int").repartition(5)
     group = ["g"] if grouped else []
-    cuts = cut_points(df, [*group, "o", "id"], ranges)
-    got = with_neighbour(df, "v", ["o", "id"], group, "near", ahead, cuts=cuts).collect()
+    got = with_neighbour(df, "v", ["o", "id"], group, "near", ahead, ranges=ranges).collect()
 
     by_group = {}
     for r in sorted(rows, key=lambda r: (first_nulls(r[2]), r[0])):
@@ -53,8 +52,7 @@ def test_neighbour_equals_brute_force(spark, ranges, ahead, grouped):
 
 def test_ranges_follow_the_order_and_are_even(spark):
     df = spark.range(20_000).select(F.lit("hot").alias("g"), (F.col("id") % 7919).alias("k"), "id")
-    cuts = cut_points(df, ["g", "k", "id"], 16)
-    sizes = with_range(df, ["g", "k", "id"], cuts).groupBy("_range").agg(
+    sizes = ranged(df, ["g", "k", "id"], 16).groupBy("_range").agg(
         F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi")
     ).orderBy("_range").collect()
     assert len(sizes) == 16
@@ -64,15 +62,16 @@ def test_ranges_follow_the_order_and_are_even(spark):
 
 def test_a_hot_value_falls_into_one_range_without_losing_rows(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"))
-    assert with_range(df, ["k"], cut_points(df, ["k"], 10)).count() == 3000
+    dealt = ranged(df, ["k"], 10)
+    assert dealt.count() == 3000
+    assert dealt.where("k = 5").select("_range").distinct().count() == 1
 
 
-@pytest.mark.parametrize("ranges", [1, 2, 13])
 @pytest.mark.parametrize("quantile", [0.0, 0.1, 0.5, 0.9, 1.0])
-def test_quantile_equals_numpy(spark, ranges, quantile):
+def test_quantile_equals_numpy(spark, quantile):
     rows = [(r[1], None if r[3] is None else r[3] / 4) for r in hot_rows()]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r["g"]: r["q"] for r in exact_quantile(df, "v", quantile, ["g"], "q", ranges).collect()}
+    got = {r["g"]: r["q"] for r in exact_quantile(df, "v", quantile, ["g"], "q").collect()}
     groups = {}
     for g, v in rows:
         if v is not None:
@@ -84,12 +83,45 @@ def test_quantile_equals_numpy(spark, ranges, quantile):
 
 def test_quantile_without_groups_and_of_nothing(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (4.0,)], "v double")
-    assert exact_quantile(df, "v", 0.75, ranges=3).first()["quantile"] == 3.0
-    assert exact_quantile(df.where("v > 9"), "v", 0.5, ranges=3).first()["quantile"] is None
+    assert exact_quantile(df, "v", 0.75).first()["quantile"] == 3.0
+    assert exact_quantile(df.where("v > 9"), "v", 0.5).first()["quantile"] is None
     with pytest.raises(ValueError):
         exact_quantile(df, "v", 1.5)
 
 
+ODD = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf")]
+ODD += [1.0, 2.0, 4.0, 0.5, 3.0, 1.0000000000000002, 0.9999999999999999, -1.0, -1.0000000000000002, 2.0**52, 2.0**53 - 1, -(2.0**53), 1e-320, 1e22, 0.1, 0.30000000000000004]
+
+
+def test_codes_sort_like_doubles_and_tell_them_apart(spark):
+    rng = np.random.default_rng(8)
+    values = sorted({*ODD, *(float(x) for x in rng.normal(size=200)), *(float(np.ldexp(m, int(e))) for m, e in zip(rng.random(300), rng.integers(-1080, 1024, 300)))})
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    codes = {r[0]: tuple(r[1:]) for r in with_codes(df, "v", ["c0", "c1", "c2"]).collect()}
+    in_order = [codes[v] for v in values]
+    assert all(a < b for a, b in zip(in_order, in_order[1:], strict=False))
+    nan = with_codes(df.limit(1).withColumn("v", F.lit(float("nan"))), "v", ["c0", "c1", "c2"]).first()
+    assert tuple(nan)[1:] > in_order[-1]
+
+
+@pytest.mark.parametrize("quantile", [0.0, 0.37, 0.5, 1.0])
+def test_quantile_of_negative_infinite_and_equal_values(spark, quantile):
+    groups = {"odd": ODD, "same": [7.25] * 50, "far": [-1e300, -1e300, 1e300], "down": [-float(i) for i in range(101)], "inf": [float("inf")] * 3 + [1.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("none", None)], "g string, v double")
+    got = {r["g"]: r["q"] for r in exact_quantile(df, "v", quantile, ["g"], "q").collect()}
+    assert got.keys() == groups.keys()
+    for g, vs in groups.items():
+        ordered, at = sorted(vs), (len(vs) - 1) * quantile
+        low, high = ordered[int(np.floor(at))], ordered[int(np.ceil(at))]
+        assert got[g] == (low if low == high else pytest.approx(low + (high - low) * (at - np.floor(at)))), g
+
+
+def test_quantiles_neither_sort_nor_shuffle_rows(spark):
+    df = spark.range(100_000).select((F.col("id") % 3).alias("g"), F.sqrt("id").alias("v"))
+    plan = exact_quantile(df, "v", 0.5, ["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort " not in plan and "Repartition" not in plan
+
+
 # --- monotone, sequences, ranges ---------------------------------------------
 
 

@@ -11,7 +11,7 @@ from ..functions import rules
 from ..functions.scalars import as_column
 from .core import Condition, aggregate, failing_rows, only
 from .joins import repeated_keys
-from .ordered import cut_points, sort_keys, with_neighbour
+from .ordered import sort_keys, with_neighbour
 
 # --- values ------------------------------------------------------------------
 
@@ -75,9 +75,8 @@ def _monotone(df, column, sort_column, strictly, row_condition, group_by, ordere
     group, order = list(group_by), sort_keys([sort_column], [column])
     keys = sort_keys(group, order)
     tested = only(df, row_condition)
-    cuts = cut_points(tested, keys, ranges)
     rows = tested.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    near = with_neighbour(rows, column, order, group, cuts=cuts, carry=["copies"])
+    near = with_neighbour(rows, column, order, group, ranges=ranges)
     value, previous = F.col(column), F.col("previous")
     step = rules.violates(ordered(value, previous))
     if strictly:

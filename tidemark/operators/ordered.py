@@ -1,40 +1,28 @@
 """Neighbours and exact quantiles in sorted data, without one task per group.
 
 A plain window sends a whole group to one task, so one group with a third of all
-rows decides the run time. Here a sorted group is cut into ranges: the cut points
-come from a bounded sample, in a subquery that runs once, so a row's range depends
-on the row and the sample alone. Each range has a task of its own.
-
-Groups are contiguous in sort order, so the only row outside a range that a row in
-it can need is the outermost one of the nearest range with rows. The table that
-carries values over the cuts therefore has one row per range, and is broadcast.
+rows decides the run time. Neighbours are looked up in ranges of the sorted rows instead:
+Spark deals the rows by range of the group and order columns, and what they are dealt to is
+stored once, so that every use sees the same ranges. Groups are contiguous in sort order, so
+the only row outside a range that a row in it can need is the outermost one of the nearest
+range with rows. The table that carries values over the limits therefore has one row per
+range, and is broadcast.
+
+Quantiles need no order of the rows at all: values are counted by the leading part of a code
+that sorts like them, and then only where the wanted ranks lie by the next part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.rules import all_of
+from ..sources.folders import new_folder
 
-#: Sampled rows per range. Beyond ``MAX_SAMPLE / SAMPLES_PER_RANGE`` ranges there are fewer,
-#: and ranges may be less even; what is computed stays the same.
-SAMPLES_PER_RANGE = 20
-MAX_SAMPLE = 100_000
-#: Characters of a text in a sampled key, which bounds the sample's bytes.
-KEY_CHARS = 64
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Up to ``ranges - 1`` keys that split a table, as an array column, in order."""
-
-    points: Column
-    ranges: int
+# --- neighbours --------------------------------------------------------------
 
 
 def sort_keys(partition_by: Sequence[str], order_by: Sequence[str]) -> list[str]:
@@ -42,61 +30,21 @@ def sort_keys(partition_by: Sequence[str], order_by: Sequence[str]) -> list[str]
     return list(dict.fromkeys([*partition_by, *order_by]))
 
 
-def _sort_key(names: Sequence[str]) -> Column:
-    return F.struct(*[F.col(n) for n in names])
-
+def ranged(df: DataFrame, names: Sequence[str], ranges: int | None = None, into: str = "_range") -> DataFrame:
+    """Rows dealt to ranges of about equal size in the order of ``names``, with the range's number, stored.
 
-def cut_points(df: DataFrame, names: Sequence[str], ranges: int | None = None) -> Cuts | None:
-    """Keys that split ``df`` about evenly in the order of ``names``.
-
-    Nothing runs here: the points are a subquery over one pass that keeps a bounded
-    random sample. Any cut points give the same result; good ones give even tasks.
+    The rows are written to the shared folder here and now: ranges come from a sample, so a
+    second look at them must not draw another one, also after an executor is lost.
     """
+    spark = df.sparkSession
     if ranges is None:
-        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if ranges < 2:
-        return None
-    types = {f.name: f.dataType for f in df.schema.fields}
-    short = [F.left(n, F.lit(KEY_CHARS)).alias(n) if isinstance(types[n], T.StringType) else F.col(n) for n in names]
-    sample = df.select(*short).orderBy(F.rand(7)).limit(min(ranges * SAMPLES_PER_RANGE, MAX_SAMPLE))
-    rows = sample.agg(F.sort_array(F.collect_list(_sort_key(names))).alias("rows"))
-    at = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.floor(i * F.size("rows") / ranges).cast("int"))
-    points = F.array_distinct(F.transform(at, lambda i: F.get("rows", i)))
-    return Cuts(rows.select(F.filter(points, lambda x: x.isNotNull())).scalar(), ranges)
-
-
-def with_range(
-    df: DataFrame, names: Sequence[str], cuts: Cuts | None, into: str = "_range"
-) -> DataFrame:
-    """Add the number of cut points at or below the row's key.
-
-    A bisection, one generated projection per step: the work per row grows with the
-    logarithm of the number of cuts.
-    """
-    if cuts is None:
         return df.withColumn(into, F.lit(0))
-    found = df.withColumns({"_key": _sort_key(names), into: F.lit(0)})
-    step = 1 << ((cuts.ranges - 1).bit_length() - 1)
-    while step:
-        at = F.col(into)
-        further = F.coalesce(F.get(cuts.points, at + (step - 1)) <= F.col("_key"), F.lit(False))
-        found = found.withColumn(into, at + F.when(further, step).otherwise(0))
-        step >>= 1
-    return found.drop("_key")
-
-
-def _by_range(df: DataFrame, cuts: Cuts | None) -> tuple[DataFrame, list[str]]:
-    """Rows dealt out so that every range has a task of its own, and the columns that tell.
-
-    ``_slot`` is, per range, a number that hashing sends to just that task.
-    """
-    if cuts is None:
-        return df, ["_range"]
-    spark, n = df.sparkSession, cuts.ranges
-    numbers = spark.range(32 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("task")).agg(F.min("id").alias("number"))
-    slots = numbers.agg(F.sort_array(F.collect_list(F.struct("task", "number"))).alias("s")).select("s.number").scalar()
-    slot = F.coalesce(F.get(slots, F.col("_range")), F.col("_range").cast("bigint"))
-    return df.withColumn("_slot", slot).repartition(n, "_slot"), ["_slot", "_range"]
+    dealt = df.repartitionByRange(ranges, *names).withColumn(into, F.spark_partition_id())
+    path = new_folder(spark, "ranges")
+    dealt.write.parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path)
 
 
 def with_neighbour(
@@ -106,42 +54,31 @@ def with_neighbour(
     partition_by: Sequence[str] = (),
     into: str = "previous",
     ahead: bool = False,
-    cuts: Cuts | None = None,
-    carry: Sequence[str] = (),
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add the value of the previous (or next) row of the group in sort order.
 
     ``order_by`` should be a total order within the group, or equal keys are in
     arbitrary order. ``{into}_exists`` tells a missing neighbour from a null one.
-    Naming the remaining columns of an aggregate in ``carry`` makes both uses of it
-    alike, so its shuffle is done once.
     """
     group, order = list(partition_by), list(order_by)
     keys = sort_keys(group, order)
-    if cuts is None:
-        cuts = cut_points(df, keys)
-    cells = with_range(df, keys, cuts).withColumn(
-        "_value", F.struct(F.col(value).alias("v"), *carry)
-    )
-    dealt, place = _by_range(cells, cuts)
-    inner = Window.partitionBy(*place, *group).orderBy(*order)
+    cells = ranged(df, keys, ranges)
+    of_value = F.struct(F.col(value).alias("v"))
     step = F.lead if ahead else F.lag
-    near = dealt.withColumn("_near", step("_value").over(inner))
-
-    if cuts:
-        # The outermost row of each range: one row per range, whatever the groups.
-        pick = F.min_by if ahead else F.max_by
-        edges = cells.groupBy("_range").agg(
-            pick(F.struct(*group, "_value"), _sort_key(keys)).alias("_edge")
-        )
-        beside = step("_edge").over(Window.orderBy("_range"))
-        edges = edges.select(F.col("_range").alias("_at"), beside.alias("_far"))
-        near = near.join(F.broadcast(edges), near["_range"] == edges["_at"], "left")
-        same_group = all_of(F.col(c).eqNullSafe(F.col("_far")[c]) for c in group)
-        near = near.withColumn(
-            "_near", F.coalesce("_near", F.when(same_group, F.col("_far")["_value"]))
-        )
-
+    inner = Window.partitionBy("_range", *group).orderBy(*order)
+    near = cells.withColumn("_near", step(of_value).over(inner))
+
+    # The outermost row of each range: one row per range, whatever the groups.
+    pick = F.min_by if ahead else F.max_by
+    key = F.struct(*[F.col(n) for n in keys])
+    outermost = F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(group)], of_value.alias("value"))
+    edges = cells.groupBy("_range").agg(pick(outermost, key).alias("_edge"))
+    beside = step("_edge").over(Window.orderBy("_range"))
+    edges = edges.select(F.col("_range").alias("_at"), beside.alias("_far"))
+    near = near.join(F.broadcast(edges), near["_range"] == edges["_at"], "left")
+    same_group = all_of(F.col(c).eqNullSafe(F.col("_far")[f"g{i}"]) for i, c in enumerate(group))
+    near = near.withColumn("_near", F.coalesce("_near", F.when(same_group, F.col("_far")["value"])))
     return near.select(
         *df.columns,
         F.col("_near")["v"].alias(into),
@@ -149,65 +86,89 @@ def with_neighbour(
     )
 
 
+# --- quantiles ---------------------------------------------------------------
+
+#: Bits of the mantissa that each step tells apart; the first one tells sign and exponent too.
+STEPS = (10, 21, 21)
+
+
+def with_codes(df: DataFrame, value: str, into: Sequence[str]) -> DataFrame:
+    """Add whole numbers, one per step, that sort like a double, NaN last: together they tell it exactly.
+
+    Sign and exponent with the mantissa's leading bits, then the mantissa's next bits. Zeros
+    of either sign are equal. Every projection builds on the one before, so that nothing is
+    computed twice.
+    """
+    size, power = F.col("_size"), lambda by: F.pow(F.lit(2.0), by)
+    plain = (size > 0) & (size < F.lit(float("inf")))
+    found = df.withColumn("_size", F.abs(value))
+    found = found.withColumn("_exp", F.when(plain, F.floor(F.log2("_size"))).cast("int"))
+    # The logarithm may be off by one next to a power of two.
+    off = F.when(power(F.col("_exp")) > size, -1).when(power(F.col("_exp") + 1) <= size, 1).otherwise(0)
+    found = found.withColumn("_exp", F.col("_exp") + off)
+    # Below the normal numbers a power of two is as small as a number gets: divide in two steps.
+    half = F.shiftright("_exp", 1)
+    bits = ((size / power(half) / power(F.col("_exp") - half) - 1) * F.lit(2.0**52)).cast("bigint")
+    found = found.withColumn("_bits", bits)
+    left, codes = 52, []
+    for i, width in enumerate(STEPS):
+        left -= width
+        part = F.shiftright("_bits", left).bitwiseAND((1 << width) - 1)
+        if i == 0:
+            beyond = F.when(F.isnan("_size"), 4000 << width).when(size > 0, 3000 << width).otherwise(0)
+            part = F.coalesce((F.col("_exp") + 1100) * (1 << width) + part, beyond)
+        codes.append((F.when(F.col(value) < 0, -1).otherwise(1) * F.coalesce(part, F.lit(0))).cast("bigint"))
+    return found.withColumns(dict(zip(into, codes, strict=True))).drop("_size", "_exp", "_bits")
+
+
 def exact_quantile(
     df: DataFrame,
     value: str,
     quantile: float,
     group_by: Sequence[str] = (),
     into: str = "quantile",
-    ranges: int | None = None,
 ) -> DataFrame:
     """Exact interpolated quantile per group, nulls ignored.
 
-    Copies of a value are counted before anything is shuffled. The ranks at the
-    start of each range come from range totals; only the ranges that hold the two
-    ranks asked for are sorted.
+    Each step counts the values by group and a part of their code, with partial counts before the
+    shuffle, and keeps for the next one only the codes that hold the two ranks asked for: at most
+    two per group. Rows are neither sorted nor shuffled to ranges; what is sorted are the codes of a
+    group that occur, at most two million in a step. The input is read once per step, of its group
+    and value columns.
     """
     if not 0 <= quantile <= 1:
         raise ValueError("quantile must lie between 0 and 1")
-    group = list(group_by)
-    data = df.select(*group, F.col(value).cast("double").alias("_v")).where("_v is not null")
-    keys = [*group, "_v"]
-    cuts = cut_points(data, keys, ranges)
-    counts = with_range(
-        data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, cuts
-    )
-
-    # One row per group and range: few rows per group.
-    whole = Window.partitionBy(*group)
-    upto = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rank = (F.col("_total") - 1) * F.lit(float(quantile))
-    totals = (
-        counts.groupBy(*group, "_range")
-        .agg(F.sum("_n").alias("_m"))
-        .withColumn("_before", F.sum("_m").over(upto) - F.col("_m"))
-        .withColumn("_total", F.sum("_m").over(whole))
-        .withColumn("_rank", rank)
-        .where(
-            (F.col("_before") <= F.ceil("_rank"))
-            & (F.col("_before") + F.col("_m") > F.floor("_rank"))
-        )
-        .select(
-            *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)],
-            F.col("_range").alias("_r"),
-            "_before",
-            "_rank",
+    group = [f"_g{i}" for i in range(len(group_by))]
+    codes = [f"_c{i}" for i in range(len(STEPS))]
+    rows = df.select(*[F.col(c).alias(g) for g, c in zip(group, group_by, strict=True)], F.col(value).cast("double").alias("_v"))
+    rows = with_codes(rows.where("_v is not null"), "_v", codes)
+
+    carried = ["_low", "_high", "_part"]
+    wanted = None
+    for i, code in enumerate(codes):
+        here, near = [*group, *codes[:i]], rows
+        if wanted is not None:
+            # Without groups these are at most two rows; with them, as few per group as that.
+            places = wanted.select(*[F.col(c).alias(f"{c}_") for c in here], *carried)
+            places = places if group else F.broadcast(places)
+            near = rows.join(places, all_of([rows[c].eqNullSafe(places[f"{c}_"]) for c in here]))
+        counts = near.groupBy(*here, code).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), *([F.max(c).alias(c) for c in carried] if i else [])
         )
-    )
-    match = counts["_range"] == totals["_r"]
-    for i, c in enumerate(group):
-        match = match & counts[c].eqNullSafe(totals[f"_g{i}"])
-    dealt, place = _by_range(counts.join(totals, match), cuts)
-    within = Window.partitionBy(*place, *group).orderBy("_v")
-    within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = dealt.withColumn(
-        "_upto", F.col("_before") + F.sum("_n").over(within)
-    )
-    ends = ranked.groupBy(*group).agg(
-        F.min(F.when(F.col("_upto") > F.floor("_rank"), F.col("_v"))).alias("_lo"),
-        F.min(F.when(F.col("_upto") > F.ceil("_rank"), F.col("_v"))).alias("_hi"),
-        F.first(F.col("_rank") - F.floor("_rank")).alias("_part"),
-    )
-    return ends.select(
-        *group, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")).alias(into)
-    )
+        inside = Window.partitionBy(*here).orderBy(code).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counts = counts.withColumn("_before", F.sum("_n").over(inside) - F.col("_n"))
+        if wanted is None:
+            rank = (F.sum("_n").over(Window.partitionBy(*group)) - 1) * F.lit(float(quantile))
+            counts = counts.withColumn("_rank", rank).withColumns(
+                {"_low": F.floor("_rank"), "_high": F.ceil("_rank"), "_part": F.col("_rank") - F.floor("_rank")}
+            )
+        # Ranks from the first of a code on; null for an end that lies elsewhere.
+        inner = {c: F.col(c) - F.col("_before") for c in carried[:2]}
+        counts = counts.withColumns({c: F.when((at >= 0) & (at < F.col("_n")), at) for c, at in inner.items()})
+        wanted = counts.where("_low is not null or _high is not null").select(*here, code, *carried, "_least")
+
+    low, high = (F.max(F.when(F.col(c).isNotNull(), F.col("_least"))) for c in carried[:2])
+    ends = wanted.groupBy(*group).agg(low.alias("_lo"), high.alias("_hi"), F.max("_part").alias("_part"))
+    # Equal ends are the value itself: infinite ones have no difference.
+    between = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part"))
+    return ends.select(*[F.col(g).alias(c) for g, c in zip(group, group_by, strict=True)], between.alias(into))

@@ -11,7 +11,7 @@ from ..functions import dates, rules
 from .core import Condition, aggregate, expression_is_true, failing_rows, only
 from .expect_time import recency  # noqa: F401  (one of the table tests)
 from .joins import compare_join, key_counts, keys_without_match, repeated_keys
-from .ordered import cut_points, sort_keys, with_neighbour
+from .ordered import sort_keys, with_neighbour
 from .reshape import except_both_ways
 
 
@@ -164,9 +164,8 @@ def sequential_values(
     follows its equal.
     """
     keys = sort_keys(group_by, [column])
-    cuts = cut_points(df, keys, ranges)
     rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    near = with_neighbour(rows, column, [column], group_by, cuts=cuts, carry=["copies"])
+    near = with_neighbour(rows, column, [column], group_by, ranges=ranges)
 
     def follows(previous):
         if datepart:
@@ -208,11 +207,10 @@ def mutually_exclusive_ranges(
     group = [partition_by] if partition_by else []
     order = [lower_bound_column, upper_bound_column]
     keys = sort_keys(group, order)
-    cuts = cut_points(df, keys, ranges)
     rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     near = with_neighbour(
         rows, lower_bound_column, order, group, "next_lower_bound",
-        ahead=True, cuts=cuts, carry=["copies"],
+        ahead=True, ranges=ranges,
     )
     lower, upper = F.col(lower_bound_column), F.col(upper_bound_column)
     fits = GAPS[gaps]
