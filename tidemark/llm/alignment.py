@@ -15,6 +15,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -23,15 +24,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import byte_sums, pick, spans
 from .frequencies import HEAD
 from .store import by_text, column, stored, text_key
 from .stretches import Slice, sliced
 
 #: Bytes of text that are encoded and aligned at once.
-ENCODED = 1 << 20
+ENCODED = 4 << 20
 
-_ALPHANUMERIC = np.zeros(256, bool)
-_ALPHANUMERIC[0x30:0x3A] = _ALPHANUMERIC[0x41:0x5B] = _ALPHANUMERIC[0x61:0x7B] = True
+#: Bytes of neighbouring units that are encoded in one piece.
+TOGETHER = 16 << 10
+
+
+def _graphic(raw: np.ndarray) -> np.ndarray:
+    """Bytes of printable ASCII characters and of U+00C0 to U+00FF, none of which is a blank to either tokenizer."""
+    lead = np.zeros(len(raw), bool)
+    lead[:-1] = (raw[:-1] == 0xC3) & ((raw[1:] & 0xC0) == 0x80)
+    out = ((raw > 0x20) & (raw < 0x7F)) | lead
+    out[1:] |= lead[:-1]
+    return out
 
 
 def byte_of_character() -> dict[str, int]:
@@ -89,10 +100,11 @@ class Tokenizers:
         return cls.made[key]
 
     def places(self, raw: np.ndarray) -> np.ndarray:
-        """Single blanks between ASCII letters or digits."""
+        """Single blanks between printable characters."""
         found = np.zeros(len(raw), bool)
         if self.divides:
-            found[1:-1] = (raw[1:-1] == 0x20) & _ALPHANUMERIC[raw[:-2]] & _ALPHANUMERIC[raw[2:]]
+            plain = _graphic(raw)
+            found[1:-1] = (raw[1:-1] == 0x20) & plain[:-2] & plain[2:]
         return found
 
     def encoded(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
@@ -159,22 +171,57 @@ class Aligner:
         self.digits, self.counted = _decimals(max(len(tokenizers.a_bytes.sizes), len(tokenizers.b_bytes.sizes)))
 
     def stretches(self, part: Slice) -> Iterator[tuple[int, bool, tuple | None]]:
-        """Per stretch: row, whether it is the text's last, and its counts, groups and pairs (None: no tokens)."""
-        # A later stretch begins with its own blank, which stands for the one before the text.
+        """Per stretch: row, whether it is the text's last, and its counts, groups and pairs (None: no tokens).
+
+        Where both kinds' tokens end a group ends, so stretches fall apart into units at the places
+        where neither kind goes on. Each distinct unit of the slice is encoded and aligned once.
+        """
+        first = part.bounds[:-1]
+        inner = np.flatnonzero(self.of.places(part.raw)) if len(part.raw) > 2 else np.zeros(0, np.int64)
+        limits = np.zeros(len(part.raw) + 2, bool)
+        limits[part.bounds] = True
+        inner = inner[~limits[inner] & ~limits[inner + 1]]
+        begins = np.sort(np.concatenate([first[np.diff(part.bounds) > 0], inner]))
+        ends = np.append(begins[1:], len(part.raw))
+        owner = np.searchsorted(part.bounds, begins, "right") - 1
+        # A unit's own blank stands for the one that both tokenizers are given before it.
         fresh = np.append(True, part.rows[1:] != part.rows[:-1]) & ~self.continues(part)
-        begins = part.bounds[:-1] + ~fresh
-        texts = [part.raw[a:b].tobytes() for a, b in zip(begins, part.bounds[1:], strict=True)]
-        a_ids, b_ids = self.of.encoded([t.decode("utf-8", "replace") for t in texts])
-        a_ids, b_ids = [np.array(i, np.int64) for i in a_ids], [np.array(i, np.int64) for i in b_ids]
-        wanted = [b" " + t if t else b"" for t in texts]
-        sound = np.array([
-            bool(w) and self.of.a_bytes.joined(a).tobytes() == w == self.of.b_bytes.joined(b).tobytes()
-            for w, a, b in zip(wanted, a_ids, b_ids, strict=True)
-        ], bool)
-        good = np.flatnonzero(sound)
-        found = iter(self.aligned([a_ids[i] for i in good], [b_ids[i] for i in good]) if len(good) else ())
-        for i, ok in enumerate(sound.tolist()):
-            yield int(part.rows[i]), bool(part.last[i]), next(found) if ok else None
+        blank = ~(limits[begins] & fresh[owner])
+        begins = begins + blank
+        _, at, which = np.unique(spans(*byte_sums(part.raw), begins, ends), return_index=True, return_inverse=True)
+        plain = _graphic(part.raw)
+        plain = plain[np.minimum(begins[at], len(plain) - 1)] & plain[ends[at] - 1] if len(at) else np.zeros(0, bool)
+        order = np.argsort(~plain, kind="stable")
+        which, at = np.argsort(order)[which], at[order]
+        sound, counts, lines, link_unit, link_pair = self.units(part.raw, begins[at], ends[at], int(plain.sum()))
+
+        n = len(first)
+        valid = np.bincount(owner, weights=~sound[which], minlength=n) == 0
+        valid &= np.diff(part.bounds) > 0
+        totals = np.stack([np.bincount(owner, weights=counts[which, i], minlength=n) for i in range(4)], axis=1).astype(np.int64)
+        units = np.searchsorted(owner, np.arange(n + 1))
+        pairs, pair_limits = self.pairs_of(owner, which, link_unit, link_pair, n)
+        for i in range(n):
+            found = None
+            if valid[i]:
+                of = slice(pair_limits[i], pair_limits[i + 1])
+                line = b";".join([lines[u] for u in which[units[i] : units[i + 1]].tolist()])
+                found = totals[i], line, (pairs[0][of], pairs[1][of])
+            yield int(part.rows[i]), bool(part.last[i]), found
+
+    @staticmethod
+    def pairs_of(owner: np.ndarray, which: np.ndarray, link_unit: np.ndarray, link_pair: np.ndarray, n: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """Distinct pairs of each stretch with how often they are linked in it, and where a stretch's begin."""
+        distinct, number = np.unique(link_pair, return_inverse=True)
+        places = np.searchsorted(link_unit, np.arange((which.max() if len(which) else 0) + 2))
+        both, times = np.unique(owner * np.int64(len(places)) + which, return_counts=True)
+        stretch, unit = np.divmod(both, len(places))
+        sizes = places[unit + 1] - places[unit]
+        links = np.repeat(places[unit] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        keys, spot = np.unique(np.repeat(stretch, sizes) * max(1, len(distinct)) + number[links], return_inverse=True)
+        of, pair = np.divmod(keys, max(1, len(distinct)))
+        total = np.bincount(spot, weights=np.repeat(times, sizes), minlength=len(keys)).astype(np.int64)
+        return (distinct[pair], total), np.searchsorted(of, np.arange(n + 1))
 
     def continues(self, part: Slice) -> np.ndarray:
         """Whether the first stretch goes on with the text of the slice before."""
@@ -185,48 +232,92 @@ class Aligner:
 
     open_row = -1
 
-    def aligned(self, a_lists: list[np.ndarray], b_lists: list[np.ndarray]) -> Iterator[tuple]:
-        """Counts, groups and pairs of texts whose tokens of both kinds cover the same bytes."""
-        a, b = np.concatenate(a_lists), np.concatenate(b_lists)
+    def units(self, raw: np.ndarray, begins: np.ndarray, ends: np.ndarray, plain: int) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+        """Of distinct units: whether both kinds give them back, counts, group lines, and links by unit.
+
+        The first ``plain`` units begin and end with printable characters: they can stand in one text.
+        """
+        written = pick(raw, begins, ends, pa.binary()).to_pylist()
+        many = np.cumsum(ends - begins + 1)[:plain] // TOGETHER if self.of.divides else np.arange(plain)
+        limits = [0, *(np.flatnonzero(np.diff(many)) + 1).tolist(), *([plain] if plain else []), *range(plain + 1, len(written) + 1)]
+        found = self.tokens(written, limits)
+        apart = [i for (low, high), f in zip(pairwise(limits), found, strict=True) if f is None and high - low > 1 for i in range(low, high)]
+        alone = dict(zip(apart, self.tokens([written[i] for i in apart], list(range(len(apart) + 1))), strict=True))
+        parts: list[tuple[np.ndarray, ...]] = []
+        sound = np.ones(len(written), bool)
+        for (low, high), f in zip(pairwise(limits), found, strict=True):
+            for i, own in ((low, f),) if f is not None else ((i, alone.get(i)) for i in range(low, high)):
+                if own is None:
+                    sound[i] = False
+                else:
+                    parts.append(own)
+        good = np.flatnonzero(sound)
+        counts, lines = np.zeros((len(written), 4), np.int64), [b""] * len(written)
+        link_unit = link_pair = np.zeros(0, np.int64)
+        if len(good):
+            counts[good], groups, link, link_pair = self.aligned(*[np.concatenate(x) for x in zip(*parts, strict=True)])
+            for i, line in zip(good.tolist(), groups, strict=True):
+                lines[i] = line
+            link_unit = good[link]
+        return sound, counts, lines, link_unit, link_pair
+
+    def encoded(self, written: list[bytes], limits: list[int]) -> Iterator[tuple[tuple[int, int], bytes, tuple[list[int], list[int]]]]:
+        """Units from limit to limit as one text, with the ids of both kinds; few texts at a time, as ids come as objects."""
+        waiting: list[tuple[tuple[int, int], bytes]] = []
+        size = 0
+        for span in chain(pairwise(limits), [None]):
+            if waiting and (span is None or size > 8 * TOGETHER):
+                a, b = self.of.encoded([text.decode("utf-8", "replace") for _, text in waiting])
+                yield from ((at, text, ids) for (at, text), ids in zip(waiting, zip(a, b, strict=True), strict=True))
+                waiting, size = [], 0
+            if span is not None:
+                waiting.append((span, b" ".join(written[span[0] : span[1]])))
+                size += len(waiting[-1][1])
+
+    def tokens(self, written: list[bytes], limits: list[int]) -> list[tuple[np.ndarray, ...] | None]:
+        """Ids of both kinds and how many of each a unit has, per text of units from limit to limit.
+
+        None for a text that either vocabulary does not give back, or whose tokens reach over a unit's end.
+        """
+        out: list[tuple[np.ndarray, ...] | None] = []
+        for (low, high), text, ids in self.encoded(written, limits):
+            unit_ends = np.cumsum([len(w) + 1 for w in written[low:high]])
+            arrays = [np.array(x, np.int64) for x in ids]
+            sizes, fits = [], bool(text)
+            for vocabulary, x in zip((self.of.a_bytes, self.of.b_bytes), arrays, strict=True):
+                token_ends = np.cumsum(vocabulary.sizes[x])
+                upto = np.searchsorted(token_ends, unit_ends, "right")
+                fits = fits and vocabulary.joined(x).tobytes() == b" " + text and bool((token_ends[upto - 1] == unit_ends).all())
+                sizes.append(np.diff(upto, prepend=0))
+            out.append((*arrays, *sizes) if fits else None)
+        return out
+
+    def aligned(self, a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+        """Counts, group lines and links (unit, pair) of units whose tokens of both kinds cover the same bytes."""
         a_ends, b_ends = np.cumsum(self.of.a_bytes.sizes[a]), np.cumsum(self.of.b_bytes.sizes[b])
-        texts = len(a_lists)
-        a_text = np.repeat(np.arange(texts), [len(x) for x in a_lists])
-        b_text = np.repeat(np.arange(texts), [len(x) for x in b_lists])
+        units = len(a_sizes)
+        a_unit, b_unit = np.repeat(np.arange(units), a_sizes), np.repeat(np.arange(units), b_sizes)
         label = terminals(successors(a_ends, b_ends))
         ends = np.concatenate([a_ends, b_ends])
 
         # Tokens in the order of their groups, A's before B's.
         order = np.lexsort((np.arange(len(label)) >= len(a), ends[label]))
         ids, kind = np.concatenate([a, b])[order], (order >= len(a)).astype(np.int8)
-        text, group = np.concatenate([a_text, b_text])[order], label[order]
-        after_text = np.append(text[1:] != text[:-1], True)
+        unit, group = np.concatenate([a_unit, b_unit])[order], label[order]
+        after_unit = np.append(unit[1:] != unit[:-1], True)
         after_group = np.append(group[1:] != group[:-1], True)
-        sign = np.where(after_text, 0, np.where(after_group, ord(";"), np.where(np.append(kind[1:], 0) != kind, ord("|"), ord(",")))).astype(np.uint8)
+        sign = np.where(after_group, ord(";"), np.where(np.append(kind[1:], 0) != kind, ord("|"), ord(","))).astype(np.uint8)
         written = np.column_stack([self.digits[ids], sign])
-        shown = np.column_stack([self.counted[ids], ~after_text])
+        shown = np.column_stack([self.counted[ids], ~after_unit])
         line = written[shown].tobytes()
-        lengths = np.bincount(text, weights=shown.sum(axis=1), minlength=texts).astype(np.int64)
-        places = np.concatenate([[0], np.cumsum(lengths)])
+        places = np.concatenate([[0], np.cumsum(np.bincount(unit, weights=shown.sum(axis=1), minlength=units).astype(np.int64))]).tolist()
 
         # Between two neighbouring ends of either kind lies the overlap of one pair.
         at = np.unique(ends)
         of_a, of_b = np.searchsorted(a_ends, at), np.searchsorted(b_ends, at)
-        link_text = a_text[of_a]
-        pair = (a[of_a] << 32) | b[of_b]
-        by_pair = np.lexsort((pair, link_text))
-        pair, in_text = pair[by_pair], link_text[by_pair]
-        new = np.append(True, (pair[1:] != pair[:-1]) | (in_text[1:] != in_text[:-1]))
-        first = np.flatnonzero(new)
-        times = np.diff(np.append(first, len(pair)))
-        limits = np.searchsorted(in_text[first], np.arange(texts + 1))
-
-        counts = np.stack([
-            np.bincount(a_text, minlength=texts), np.bincount(b_text, minlength=texts),
-            np.bincount(text[after_group], minlength=texts), np.bincount(link_text, minlength=texts),
-        ], axis=1)
-        for i in range(texts):
-            part = slice(limits[i], limits[i + 1])
-            yield counts[i], line[places[i] : places[i + 1]], (pair[first[part]], times[part])
+        link = a_unit[of_a]
+        counts = np.stack([a_sizes, b_sizes, np.bincount(unit[after_group], minlength=units), np.bincount(link, minlength=units)], axis=1)
+        return counts, [line[x:y] for x, y in pairwise(places)], link, (a[of_a] << 32) | b[of_b]
 
     def texts(self, column: pa.Array, size: int) -> Iterator[Aligned]:
         """Each text of the column, in order."""
@@ -276,8 +367,8 @@ def align_tokens(docs: DataFrame, a: str, b: str, *, text: str = "text", head: i
     Returns the input's columns and these, which replace columns of the same name. Empty table:
     empty. Null and empty texts, and texts that either vocabulary does not give back byte by byte:
     zeros and an empty string. Repeated rows: each counts, and has its text's values. Long texts:
-    whole, in stretches cut at blanks between ASCII letters or digits, where neither kind of token
-    goes on; a stretch without such a place is encoded in one piece, in about 500 bytes of memory per byte.
+    whole, in stretches cut at single blanks between printable characters of Latin-1, where neither kind
+    of token goes on; a stretch without such a place is encoded in one piece, in about 500 bytes of memory per byte.
     """
     spark = docs.sparkSession
     files = spark.sparkContext.broadcast((Path(a).read_text(encoding="utf-8"), Path(b).read_bytes()))
