@@ -30,7 +30,7 @@ from .store import by_text, column, stored, text_key
 from .stretches import Slice, sliced
 
 #: Bytes of text that are encoded and aligned at once.
-ENCODED = 4 << 20
+ENCODED = 3 << 20
 
 #: Bytes of neighbouring units that are encoded in one piece.
 TOGETHER = 16 << 10
