@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import dropped, stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -13,7 +13,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Each round links every node's larger neighbours to its smallest one, then every
     node's smaller neighbours. Rounds grow with the logarithm of the longest path; each
-    is stored. Smallest neighbours are combined before the shuffle, so hubs are no hot keys.
+    is stored, and the one before it deleted. Smallest neighbours are combined before the
+    shuffle, so hubs are no hot keys.
     """
     pairs = edges.select(F.least(a, b).alias("low"), F.greatest(a, b).alias("high")).filter("low < high").distinct()
     pairs = stored(pairs, "edges")
@@ -28,11 +29,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("least"))
         up = pairs.select(F.col("low").alias("node"), F.col("high")).join(least, "node").select(F.col("least").alias("low"), "high")
         large = stored(up.filter("low < high").distinct(), "large")
+        dropped(pairs)
         # Small star: a node and its smaller neighbours go to the smallest of these.
         least = large.groupBy("high").agg(F.min("low").alias("least"))
         met = large.join(least, "high")
         down = met.select(F.col("least").alias("low"), F.col("low").alias("high")).unionByName(met.select(F.col("least").alias("low"), "high"))
         pairs = stored(down.filter("low < high").distinct(), "small")
+        dropped(large)
         before, mark = mark, digest(pairs)
         if mark == before:
             break

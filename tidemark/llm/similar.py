@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .batches import NOT_SPACE, Words, mix, sequences, slices
 from .components import components
 from .partenum import signatures
-from .store import by_text, closed, column, opened, shared_map, stored, text_key
+from .store import by_text, closed, column, dropped, opened, shared_map, stored, text_key
 
 #: Signatures that a task gathers before it links those of one kind.
 GATHERED = 1 << 21
@@ -88,6 +88,9 @@ def similar_pairs(docs: DataFrame, *, shingle: int, percent: int, text: str) ->
             local = centre != nodes
             # What is linked here already is dealt out by itself, with its signature beside it.
             place = np.where(local, mix(sigs ^ nodes.view(np.uint64), 17), sigs).view(np.int64)
+            # Rows of a node side by side compress better in the shuffle.
+            order = np.argsort(nodes, kind="stable")
+            sigs, nodes, centre, local, place = sigs[order], nodes[order], centre[order], local[order], place[order]
             return pa.RecordBatch.from_arrays(
                 [pa.array(place), pa.array(nodes), pa.array(np.where(local, centre, 0)), pa.array(np.where(local, sigs.view(np.int64), 0)), pa.array(local)],
                 names=["place", "node", "centre", "signature", "linked"],
@@ -126,26 +129,35 @@ def similar_pairs(docs: DataFrame, *, shingle: int, percent: int, text: str) ->
         "signature", "a", "b", F.coalesce("label_a", "a").alias("label_a"), F.coalesce("label_b", "b").alias("label_b")
     )
     labelled = stored(labelled, "labelled")
+    dropped(stars, labels)
     # A star of one centre has tested all its pairs with it; only what is between the others is left.
     kinds = labelled.groupBy("signature").agg(
         F.min("a").alias("a"), F.max("a").alias("z"), F.min("label_b").alias("b0"), F.max("label_b").alias("b1"),
         F.min(F.least("label_a", "label_b")).alias("l0"), F.max(F.greatest("label_a", "label_b")).alias("l1"),
     )
     mixed = kinds.filter("(a = z AND b0 != b1) OR (a != z AND l0 != l1)").select("signature")
-    opened = stored(labelled.join(mixed, "signature"), "open")
+    unsettled = stored(labelled.join(mixed, "signature"), "open")
+    dropped(labelled)
     ends = F.array(*[F.struct(F.col(x).alias("node"), F.col(f"label_{x}").alias("label")) for x in ("a", "b")])
-    members = stored(opened.select("signature", F.explode(ends).alias("m")).select("signature", "m.*").distinct(), "members")
-    families = components(opened.select("a", "b")).select("node", F.col("component").alias("family"))
-    return profiles, links.unionByName(across(in_units(members, families), sets, percent))
+    members = stored(unsettled.select("signature", F.explode(ends).alias("m")).select("signature", "m.*").distinct(), "members")
+    families = components(unsettled.select("a", "b")).select("node", F.col("component").alias("family"))
+    dropped(unsettled)
+    crossing = across(in_units(members, families), sets, percent)
+    dropped(members, sets)
+    return profiles, links.unionByName(crossing)
 
 
 def in_units(members: DataFrame, families: DataFrame) -> DataFrame:
     """``(unit, node, label)``: nodes to be compared with one another, from those of a signature each.
 
-    Nodes that share many signatures would be compared in each of them. A family, which is
+    Nodes that share many signatures would be compared in each of them. Of signatures with
+    the same nodes, told by count and 128 bits, one is a unit. A family, which is
     what signatures connect, is one unit where that makes fewer rows than its signatures do.
     """
-    members = stored(members.join(families, "node"), "families")
+    bits = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"bits{i}") for i in (1, 2)]
+    alike = members.groupBy("signature").agg(F.count(F.lit(1)).alias("n"), *bits)
+    once = alike.groupBy("n", "bits1", "bits2").agg(F.min("signature").alias("signature")).select("signature")
+    members = stored(members.join(once, "signature", "left_semi").join(families, "node"), "families")
     nodes = members.select("family", "node", "label").distinct()
     by_label = nodes.groupBy("family", "label").agg(F.count(F.lit(1)).alias("n"))
     size = by_label.groupBy("family").agg(F.sum("n").alias("all"), F.max("n").alias("main"))
@@ -174,7 +186,8 @@ def sets_of(named: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "features"])
 
     sets = named.select("text").mapInArrow(gather, "node long, features array<long>")
-    return sets.groupBy("node").agg(F.first("features").alias("features")).join(nodes, "node", "left_semi")
+    sets = sets.groupBy("node").agg(F.first("features").alias("features")).join(nodes, "node", "left_semi")
+    return sets.select("node", F.size("features").alias("size"), "features")
 
 
 def is_close(shared: np.ndarray | int, left: np.ndarray | int, right: int, percent: int) -> np.ndarray | bool:
@@ -183,7 +196,12 @@ def is_close(shared: np.ndarray | int, left: np.ndarray | int, right: int, perce
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The distinct pairs of nodes whose sets are similar, by their whole sets."""
-    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # Pairs whose sizes alone rule them out never meet the sets.
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}")), end)
+    near = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
+    pairs = stored(pairs.filter(near).select("a", "b"), "pairs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,10 +213,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 kept.append(is_close(shared, len(left), len(right), percent))
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    met = pairs.join(sets.select(F.col("node").alias("a"), F.col("features").alias("left")), "a")
-    met = met.join(sets.select(F.col("node").alias("b"), F.col("features").alias("right")), "b")
-    close = 100 * F.least(F.size("left"), F.size("right")) >= percent * F.greatest(F.size("left"), F.size("right"))
-    return stored(met.filter(close).select("a", "b", "left", "right").mapInArrow(compare, "a long, b long"), "links")
+    # The spokes' sets go to the centre of their star, which is the smaller node.
+    met = pairs.join(sets.select(F.col("node").alias("b"), F.col("features").alias("right")), "b")
+    met = met.join(sets.select(F.col("node").alias("a"), F.col("features").alias("left")), "a")
+    links = stored(met.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long"), "links")
+    dropped(pairs)
+    return links
 
 
 def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -207,13 +227,23 @@ def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Of ``(unit, node, label)`` rows, those outside the unit's largest component are its
     outsiders. They are compared with all members, block by block: a task holds a
     bounded number of outsiders, and members pass by one at a time. No pair becomes a row.
+    Members whose size is similar to no outsider's are left out first.
     """
+    members = stored(members.join(sets.select("node", "size"), "node"), "sized")
     sizes = members.groupBy("unit", "label").agg(F.count(F.lit(1)).alias("n"))
-    plan = sizes.groupBy("unit").agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("main"))
+    main = sizes.groupBy("unit").agg(F.max(F.struct("n", "label")).alias("main")).select("unit", F.col("main.label").alias("main"))
+    outside = F.when(F.col("label") != F.col("main"), F.col("size"))
+    span = members.join(main, "unit").groupBy("unit", "main").agg(
+        F.min(outside).alias("least"), F.max(outside).alias("most"), F.count(outside).alias("outside")
+    )
+    span = stored(span.filter("outside > 0"), "span")
+    meets = (100 * F.col("size") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("size"))
+    met = stored(members.join(span, "unit").filter(meets).select("unit", "node", "label", "main", "outside"), "meeting")
+    plan = met.groupBy("unit").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("label") != F.col("main")).alias("out"))
     blocks = [F.ceil(c / F.lit(float(size))).cast("long").alias(name) for c, size, name in (
-        (F.col("all"), MEMBERS, "m_blocks"), (F.col("all") - F.col("main.n"), OUTSIDERS, "o_blocks"))]
-    plan = plan.select("unit", F.col("main.label").alias("main"), *blocks)
-    placed = members.join(stored(plan, "plan"), "unit").join(sets, "node")
+        (F.col("all"), MEMBERS, "m_blocks"), (F.col("out"), OUTSIDERS, "o_blocks"))]
+    plan = plan.filter("all > 1").select("unit", *blocks)
+    placed = met.drop("outside").join(stored(plan, "plan"), "unit").join(sets.select("node", "features"), "node")
     placed = placed.withColumn("m", F.pmod(F.xxhash64("node"), F.col("m_blocks"))).withColumn("o", F.pmod(F.xxhash64("node"), F.col("o_blocks")))
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("o_blocks") - 1))
     passing = placed.withColumn("o", others).withColumn("held", F.lit(False))
@@ -240,7 +270,9 @@ def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if pairs:
                 yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
 
-    return stored(rows.mapInArrow(compare, "a long, b long").distinct(), "across")
+    crossing = stored(rows.mapInArrow(compare, "a long, b long").distinct(), "across")
+    dropped(members, span, met)
+    return crossing
 
 
 class Index:

@@ -14,6 +14,9 @@ BROADCAST_ROWS = 50_000
 #: Copies of a larger lookup table's rows, so that a hot key meets many tasks.
 SALTS = 16
 
+#: Spark's setting to delete a finished query's shuffle files instead of waiting for the driver's garbage collector.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _LOCAL: dict[str, str] = {}
 
 
@@ -30,14 +33,37 @@ def shared(spark: SparkSession) -> str:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back, which cuts its lineage.
 
-    The files outlive lost executors and go when the session ends.
+    The files outlive lost executors and go when the session ends, or by ``dropped``. What
+    the query shuffled is deleted once it is written.
     """
     spark = df.sparkSession
     path = f"{shared(spark)}/llm-{label}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    file = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(file)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    folder, files = opened_folder(spark, path)
+    files.deleteOnExit(folder)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def opened_folder(spark: SparkSession, path: str) -> tuple:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more: all made of them has been stored."""
+    for table in tables:
+        folder, files = opened_folder(table.sparkSession, table.stored_at)
+        files.delete(folder, True)
 
 
 def column(name: str) -> Column:
