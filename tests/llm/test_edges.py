@@ -1,5 +1,7 @@
 """Every corpus operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+from collections import Counter
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -131,6 +133,23 @@ def test_mixing_edges(spark, tables):
     assert sorted(map(key, rows)) == sorted(map(key, again))
 
 
+def test_texts_of_one_id_are_drawn_and_dealt_apart(spark):
+    hot = F.when(F.col("n") % 3 == 0, F.lit(7)).otherwise(F.col("n"))
+    docs = spark.range(9_000).select(F.col("id").alias("n")).select(
+        hot.alias("doc_id"), F.concat(F.lit("words "), F.col("n").cast("string")).alias("text"), F.when(F.col("n") % 5 == 0, "a").otherwise("b").alias("source")
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        mixed = poisson_mix(docs, exponent=0.5, seed=3).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len({r["mix_order"] for r in mixed}) == len(mixed)
+    one_id = [r for r in mixed if r["doc_id"] == 7]
+    assert len({r["text"] for r in one_id if r["mix_copy"] == 2}) not in (0, len({r["text"] for r in one_id}))
+    parts = sorted(Counter(r["part"] for r in mixed).values())
+    assert parts[-1] <= 2 * parts[len(parts) // 2]
+
+
 def test_conversation_edges(spark):
     schema = "conv_id long, turn long, role string, text string, formatted string"
     rows = [

@@ -2,7 +2,7 @@
 
 Each document is repeated as often as a Poisson variable says whose mean is its
 source's repetition rate: target share of bytes over present share. The variable
-comes from a hash of seed, document and piece, by inversion, so a lost task draws
+comes from a hash of seed, id, text and piece, by inversion, so a lost task draws
 the same again. The copies are then dealt out and ordered by another hash: a
 uniform shuffle of the whole corpus with one exchange.
 """
@@ -76,13 +76,15 @@ def poisson_mix(
     uniform sample, sorted). Columns of these names in the input are replaced.
 
     Empty table: empty. Null source: a source of its own. Null or empty text: counts one
-    byte in its source's size. Null id: drawn by the text alone. Repeated rows draw alike
-    and are kept as often as they come. Long texts are one row as any other.
+    byte in its source's size. Ids and texts decide the draws together, so rows of one id
+    and different texts draw and are dealt apart, and a null id is drawn by the text. Rows
+    equal in both draw alike and are kept as often as they come. Long texts are one row as
+    any other.
     """
     rates = repetition_rates(docs, weights, source, text, exponent)
     pieces = F.greatest(F.ceil(F.col("mix_rate") / PIECE), F.lit(1)).cast("int")
     rates = rates.withColumn("pieces", pieces).withColumn("sums", distribution(F.col("mix_rate") / F.col("pieces")))
-    rows = opened(docs, id=column(doc_id), source=column(source), text_id=F.when(column(doc_id).isNull(), F.md5(column(text))))
+    rows = opened(docs, id=column(doc_id), source=column(source), text_id=F.md5(F.coalesce(column(text).cast("string"), F.lit(""))))
     rows = looked_up(rows, rates, "source", F.struct("id", "text_id"))
 
     def draw(piece: Column) -> Column:

@@ -37,14 +37,14 @@ WITH sizes AS (
   SELECT source, list(upto) AS curve FROM terms GROUP BY source
 ), draws AS (
   SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.curve,
-    CAST(('0x' || substr(md5('17:' || d.doc_id || ':~:' || p.piece), 1, 13)) AS BIGINT) / pow(2, 52) AS u
+    CAST(('0x' || substr(md5('17:' || d.doc_id || ':' || md5(coalesce(d.text, '')) || ':' || p.piece), 1, 13)) AS BIGINT) / pow(2, 52) AS u
   FROM documents d JOIN pieces USING (source) JOIN curves c USING (source), range(1, 1000) AS p(piece)
   WHERE p.piece <= n
 ), counts AS (
   SELECT doc_id, text, lang, source, n_chars, sum(len(list_filter(curve, lambda x: x <= u))) AS n FROM draws GROUP BY ALL
 )
 SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS mix_copy,
-  CAST(('0x' || substr(md5('order 17:' || doc_id || ':~:' || copy), 1, 13)) AS BIGINT) / pow(2, 52) AS mix_order
+  CAST(('0x' || substr(md5('order 17:' || doc_id || ':' || md5(coalesce(text, '')) || ':' || copy), 1, 13)) AS BIGINT) / pow(2, 52) AS mix_order
 FROM (SELECT *, unnest(range(1, CAST(n AS BIGINT) + 1)) AS copy FROM counts)
 """
 
