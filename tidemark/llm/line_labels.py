@@ -2,7 +2,8 @@
 
 Each line with a word has a few features. The field scores a text's label sequence by
 feature weights per label and weights of neighbouring labels; it is fitted in numpy,
-in one task, to a bounded sample of labelled texts, whose lines take the text's label.
+in one task, to a bounded sample of labelled texts. Their lines' labels are found by
+expectation maximisation: a text's label holds for most of its words, not for each line.
 Viterbi decoding marks the lines of every text, and the share of words that stand in
 content lines decides whether it is kept, after fixed rules on words and repetitions.
 """
@@ -25,6 +26,8 @@ SAMPLE_ROWS = 2_000
 #: Words of a window whose repetition counts.
 REPEAT = 8
 FEATURES = 11
+#: The feature that holds the logarithm of a line's words.
+LINE_WORDS = 1
 MARKS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content_words long, labels array<tinyint>"
 
 _SYMBOL = np.zeros(256, bool)
@@ -152,56 +155,102 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, first: np.ndarray, between:
     return labels
 
 
-def fit(features: list[np.ndarray], labels: np.ndarray, *, steps: int = 150, rate: float = 0.15, decay: float = 1e-3) -> np.ndarray:
-    """Weights of features, first label and neighbours by gradient ascent on the log likelihood.
+def likelihood(theta: np.ndarray, x: np.ndarray, y: np.ndarray, sizes: np.ndarray, decay: float) -> tuple[float, np.ndarray]:
+    """Mean log likelihood of the texts' label sequences less the decay's penalty, and its gradient.
 
-    Every line has its text's label. Texts count alike, whatever their length.
+    Lines stand text by text, longest text first. A text counts alike whatever its length.
     """
-    order = np.argsort([-len(f) for f in features], kind="stable")
-    features, labels = [features[i] for i in order], labels[order]
-    sizes = np.array([len(f) for f in features])
+    width = x.shape[1]
     starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-    x = np.concatenate(features)
     text = np.repeat(np.arange(len(sizes)), sizes)
-    y = labels[text]
     weight = 1.0 / sizes
-    width = x.shape[1]
-    theta = np.zeros(2 * width + 2 + 4)
+    of, first, between = theta[: 2 * width].reshape(2, width), theta[2 * width : 2 * width + 2], theta[2 * width + 2 :].reshape(2, 2)
+    scores = x @ of.T
+    alpha, beta = np.zeros_like(scores), np.zeros_like(scores)
+    alpha[starts] = scores[starts] + first
+    slope = np.zeros_like(theta)
+    longest = int(sizes[0])
+    for t in range(1, longest):
+        at = starts[: int(np.searchsorted(-sizes, -t, "left"))] + t
+        through = alpha[at - 1][:, :, None] + between[None]
+        alpha[at] = np.logaddexp(through[:, 0], through[:, 1]) + scores[at]
+    norm = np.logaddexp(alpha[starts + sizes - 1, 0], alpha[starts + sizes - 1, 1])
+    for t in range(longest - 1, 0, -1):
+        active = int(np.searchsorted(-sizes, -t, "left"))
+        at = starts[:active] + t
+        through = between[None] + (scores[at] + beta[at])[:, None, :]
+        beta[at - 1] = np.logaddexp(through[:, :, 0], through[:, :, 1])
+        pair = np.exp(alpha[at - 1][:, :, None] + through - norm[:active, None, None])
+        slope[2 * width + 2 :] -= (pair * weight[:active, None, None]).sum(axis=0).reshape(-1)
+    # What the given labels have, less what the field expects.
+    surplus = np.eye(2)[y] - np.exp(alpha + beta - norm[text][:, None])
+    slope[: 2 * width] = ((surplus * weight[text][:, None]).T @ x).reshape(-1)
+    slope[2 * width : 2 * width + 2] = (surplus[starts] * weight[:, None]).sum(axis=0)
+    later = np.flatnonzero(text[1:] == text[:-1]) + 1
+    np.add.at(slope, 2 * width + 2 + 2 * y[later - 1] + y[later], weight[text[later]])
+    path = np.bincount(text, weights=scores[np.arange(len(y)), y], minlength=len(sizes)) + first[y[starts]]
+    path += np.bincount(text[later], weights=between[y[later - 1], y[later]], minlength=len(sizes))
+    value = float(((path - norm) * weight).mean() - decay / 2 * theta @ theta)
+    return value, slope / len(sizes) - decay * theta
+
+
+def fit(features: list[np.ndarray], labels: list[np.ndarray], *, steps: int = 150, rate: float = 0.15, decay: float = 1e-3) -> np.ndarray:
+    """Weights of features, first label and neighbours by gradient ascent, from a label per line."""
+    order = np.argsort([-len(f) for f in features], kind="stable")
+    sizes = np.array([len(features[i]) for i in order])
+    x = np.concatenate([features[i] for i in order])
+    y = np.concatenate([labels[i] for i in order])
+    theta = np.zeros(2 * x.shape[1] + 2 + 4)
     moment, square = np.zeros_like(theta), np.zeros_like(theta)
-    seen = np.zeros_like(theta)
-    for label in (0, 1):
-        seen[label * width : (label + 1) * width] = ((y == label) * weight[text]) @ x
-        seen[2 * width + label] = weight[labels == label].sum()
-        seen[2 * width + 2 + 3 * label] = (weight * (sizes - 1))[labels == label].sum()
     for step in range(1, steps + 1):
-        of, first, between = theta[: 2 * width].reshape(2, width), theta[2 * width : 2 * width + 2], theta[2 * width + 2 :].reshape(2, 2)
-        scores = x @ of.T
-        alpha, beta = np.zeros_like(scores), np.zeros_like(scores)
-        alpha[starts] = scores[starts] + first
-        longest = int(sizes[0])
-        for t in range(1, longest):
-            at = starts[: int(np.searchsorted(-sizes, -t, "left"))] + t
-            through = alpha[at - 1][:, :, None] + between[None]
-            alpha[at] = np.logaddexp(through[:, 0], through[:, 1]) + scores[at]
-        expected = np.zeros_like(theta)
-        norm = np.logaddexp(alpha[starts + sizes - 1, 0], alpha[starts + sizes - 1, 1])
-        for t in range(longest - 1, 0, -1):
-            active = int(np.searchsorted(-sizes, -t, "left"))
-            at = starts[:active] + t
-            through = between[None] + (scores[at] + beta[at])[:, None, :]
-            beta[at - 1] = np.logaddexp(through[:, :, 0], through[:, :, 1])
-            pair = np.exp(alpha[at - 1][:, :, None] + through - norm[:active, None, None])
-            expected[2 * width + 2 :] += (pair * weight[:active, None, None]).sum(axis=0).reshape(-1)
-        share = np.exp(alpha + beta - norm[text][:, None]) * weight[text][:, None]
-        expected[: 2 * width] = (share.T @ x).reshape(-1)
-        expected[2 * width : 2 * width + 2] = share[starts].sum(axis=0)
-        slope = (seen - expected) / len(sizes) - decay * theta
+        slope = likelihood(theta, x, y, sizes, decay)[1]
         moment = 0.9 * moment + 0.1 * slope
         square = 0.99 * square + 0.01 * slope * slope
         theta += rate * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     return theta
 
 
+def line_targets(features: list[np.ndarray], words: list[np.ndarray], of_text: np.ndarray, *, rounds: int = 4) -> list[np.ndarray]:
+    """A label per line, by hard expectation maximisation under the texts' labels.
+
+    Lines begin with their text's label. Each round fits a logistic model of single lines to
+    the present labels; then in every text the lines that the model puts on the other side
+    change over, the surest first, while less than half of the text's words do. So a good
+    text may hold boilerplate lines, and a bad one content.
+    """
+    sizes = np.array([len(f) for f in features])
+    x, n = np.concatenate(features), np.concatenate(words).astype(np.float64)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    own = of_text[text]
+    half = np.bincount(text, weights=n, minlength=len(sizes)) / 2
+    weight = 1.0 / sizes[text]
+    weight = weight * np.where(own == CONTENT, 0.5 / max(weight[own == CONTENT].sum(), 1e-9), 0.5 / max(weight[own == BOILERPLATE].sum(), 1e-9))
+    y = own.copy()
+    for _ in range(rounds):
+        away = np.where(own == CONTENT, 1.0, -1.0) * (x @ logistic(x, y, weight))
+        order = np.lexsort((-away, text))
+        moved = np.where(away > 0, n, 0.0)[order]
+        total = np.cumsum(moved)
+        before = np.concatenate([[0.0], total])[np.concatenate([[0], np.cumsum(sizes)])[:-1]]
+        change = np.zeros(len(y), bool)
+        change[order] = (away[order] > 0) & (total - before[text[order]] < half[text[order]])
+        new = np.where(change, 1 - own, own)
+        if (new == y).all():
+            break
+        y = new
+    return np.split(y, np.cumsum(sizes)[:-1])
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, *, decay: float = 1e-3, steps: int = 12) -> np.ndarray:
+    """Weights for label 1 by Newton's steps; ``weight`` of all lines adds up to one."""
+    theta = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
+        slope = x.T @ (weight * (y - p)) - decay * theta
+        theta += np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + decay * np.eye(x.shape[1]), slope)
+    return theta
+
+
 def learned(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: str, sample_rows: int) -> np.ndarray:
     """Fit the field to at most ``sample_rows`` labelled ids, chosen by a hash of the id, a text each.
 
@@ -229,9 +278,13 @@ def learned(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label
                 if len(values.values):
                     found.append((name.as_py(), good.as_py(), values.values.to_numpy().reshape(-1, FEATURES)))
         found.sort(key=lambda f: f[:2])
-        # A low quality text's lines are boilerplate.
-        wanted = np.array([BOILERPLATE if f[1] == 0 else CONTENT for f in found], np.int64)
-        theta = fit([f[2] for f in found], wanted) if len(set(wanted.tolist())) == 2 else np.zeros(2 * FEATURES + 6)
+        # A low quality text's words are boilerplate for the most part.
+        of_text = np.array([BOILERPLATE if f[1] == 0 else CONTENT for f in found], np.int64)
+        theta = np.zeros(2 * FEATURES + 6)
+        if len(set(of_text.tolist())) == 2:
+            features = [f[2] for f in found]
+            words = [np.expm1(4 * f[:, LINE_WORDS]) for f in features]
+            theta = fit(features, line_targets(features, words, of_text))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(theta))), pa.array(theta)], names=["at", "value"])
 
     described = rows.mapInArrow(describe, "id string, label int, features array<double>")
