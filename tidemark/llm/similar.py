@@ -176,18 +176,20 @@ def sets_of(named: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for part in slices(batches, "text"):
-            found, sets = [], []
+            found, sets, sketches = [], [], []
             for features in shingle_sets(part.column("text"), shingle):
                 if len(features) and (node := node_of(features)) not in seen and wanted.has(node):
                     seen.add(node)
                     found.append(node)
                     sets.append(features.view(np.int64))
+                    sketches.append(sketch(features).tobytes())
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "features"])
+                columns = [pa.array(found, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "features", "sketch"])
 
-    sets = named.select("text").mapInArrow(gather, "node long, features array<long>")
-    sets = sets.groupBy("node").agg(F.first("features").alias("features")).join(nodes, "node", "left_semi")
-    return sets.select("node", F.size("features").alias("size"), "features")
+    sets = named.select("text").mapInArrow(gather, "node long, features array<long>, sketch binary")
+    sets = sets.groupBy("node").agg(F.first("features").alias("features"), F.first("sketch").alias("sketch")).join(nodes, "node", "left_semi")
+    return sets.select("node", F.size("features").alias("size"), "features", "sketch")
 
 
 def is_close(shared: np.ndarray | int, left: np.ndarray | int, right: int, percent: int) -> np.ndarray | bool:
@@ -227,7 +229,8 @@ def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Of ``(unit, node, label)`` rows, those outside the unit's largest component are its
     outsiders. They are compared with all members, block by block: a task holds a
     bounded number of outsiders, and members pass by one at a time. No pair becomes a row.
-    Members whose size is similar to no outsider's are left out first.
+    Members whose size is similar to no outsider's are left out first, then, by the same
+    blocks, those whose sketch differs too much from all they meet.
     """
     members = stored(members.join(sets.select("node", "size"), "node"), "sized")
     sizes = members.groupBy("unit", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -238,62 +241,136 @@ def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     span = stored(span.filter("outside > 0"), "span")
     meets = (100 * F.col("size") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("size"))
-    met = stored(members.join(span, "unit").filter(meets).select("unit", "node", "label", "main", "outside"), "meeting")
+    met = meeting = stored(members.join(span, "unit").filter(meets).select("unit", "node", "label", "main"), "meeting")
+    left = stored(in_blocks(met, sets, "sketch").mapInArrow(near_sketches(percent), "unit long, node long").distinct(), "left")
+    met = met.join(left, ["unit", "node"], "left_semi")
+    rows = in_blocks(met, sets, "features")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pairs in met_in_blocks(batches, "features", Index, percent):
+            low, high = [min(p) for p in pairs], [max(p) for p in pairs]
+            yield pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["a", "b"])
+
+    crossing = stored(rows.mapInArrow(compare, "a long, b long").distinct(), "across")
+    dropped(members, span, meeting, left)
+    return crossing
+
+
+def in_blocks(met: DataFrame, sets: DataFrame, what: str) -> DataFrame:
+    """Members ``(unit, node, label, main)`` with a column of their sets, dealt by blocks, the held ones first."""
     plan = met.groupBy("unit").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("label") != F.col("main")).alias("out"))
     blocks = [F.ceil(c / F.lit(float(size))).cast("long").alias(name) for c, size, name in (
         (F.col("all"), MEMBERS, "m_blocks"), (F.col("out"), OUTSIDERS, "o_blocks"))]
-    plan = plan.filter("all > 1").select("unit", *blocks)
-    placed = met.drop("outside").join(stored(plan, "plan"), "unit").join(sets.select("node", "features"), "node")
+    plan = plan.filter("all > 1 AND out > 0").select("unit", *blocks)
+    placed = met.join(stored(plan, "plan"), "unit").join(sets.select("node", "size", what), "node")
     placed = placed.withColumn("m", F.pmod(F.xxhash64("node"), F.col("m_blocks"))).withColumn("o", F.pmod(F.xxhash64("node"), F.col("o_blocks")))
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("o_blocks") - 1))
     passing = placed.withColumn("o", others).withColumn("held", F.lit(False))
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("m_blocks") - 1))
     outsiders = placed.filter("label != main").withColumn("m", others).withColumn("held", F.lit(True))
-    rows = outsiders.unionByName(passing).select(F.xxhash64("unit", "m", "o").alias("block"), "held", "node", "label", "features")
-    rows = rows.repartition("block").sortWithinPartitions("block", F.desc("held"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, index = None, [], None
-        for batch in batches:
-            pairs = []
-            columns = [batch.column(c).to_pylist() for c in ("block", "held", "node", "label")]
-            for i, (at, is_held, node, label) in enumerate(zip(*columns, strict=True)):
-                features = batch.column("features")[i].values.to_numpy()
-                if at != block:
-                    block, held, index = at, [], None
-                if is_held:
-                    held.append((node, label, features))
+    rows = outsiders.unionByName(passing).select(F.xxhash64("unit", "m", "o").alias("block"), "held", "unit", "node", "label", "size", what)
+    return rows.repartition("block").sortWithinPartitions("block", F.desc("held"))
+
+
+def met_in_blocks(batches: Iterator[pa.RecordBatch], what: str, index_of: type, percent: int, *, unit: bool = False) -> Iterator[list[tuple]]:
+    """Pairs of a held and a passing node that an index of the held ones lets through, per batch."""
+    block, held, index = None, [], None
+    for batch in batches:
+        pairs = []
+        columns = [batch.column(c).to_pylist() for c in ("block", "held", "unit", "node", "label", "size")]
+        for i, (at, is_held, of, node, label, size) in enumerate(zip(*columns, strict=True)):
+            value = batch.column(what)[i]
+            value = np.frombuffer(value.as_buffer(), np.uint64) if what == "sketch" else value.values.to_numpy()
+            if at != block:
+                block, held, index = at, [], None
+            if is_held:
+                held.append((node, label, size, value))
+                continue
+            if index is None:
+                index = index_of(held)
+            found = index.close_to(node, label, size, value, percent)
+            pairs += [(of, node, *found)] if unit and found else [] if unit else [(node, x) for x in found]
+        if pairs:
+            yield pairs
+
+
+def near_sketches(percent: int):
+    """What keeps of the members of each unit those whose sketch allows a similar one among the others."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in met_in_blocks(batches, "sketch", Sketches, percent, unit=True):
+            nodes = sorted({(unit, node) for unit, *both in found for node in both})
+            yield pa.RecordBatch.from_arrays([pa.array([n[0] for n in nodes], pa.int64()), pa.array([n[1] for n in nodes], pa.int64())], names=["unit", "node"])
+
+    return keep
+
+
+def sketch(features: np.ndarray) -> np.ndarray:
+    """Parities of the features in a power of two of cells, two to four for each feature, as 64-bit words.
+
+    Two sketches differ in at most as many cells as their sets do in features, and half of
+    a sketch laid over the other half is the sketch of half as many cells.
+    """
+    cells = max(64, 1 << (2 * len(features) - 1).bit_length())
+    at = (mix(features, 41) & np.uint64(cells - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(words: np.ndarray) -> np.ndarray:
+    half = words.shape[-1] // 2
+    return words[..., :half] ^ words[..., half:]
+
+
+class Sketches:
+    """Sketches of a block of sets, to rule out those that differ too much from another."""
+
+    def __init__(self, held: list[tuple[int, int, int, np.ndarray]]):
+        self.kinds = {}
+        for width in {len(h[3]) for h in held}:
+            same = [h for h in held if len(h[3]) == width]
+            nodes, labels, sizes = (np.array([h[i] for h in same], np.int64) for i in range(3))
+            words = np.stack([h[3] for h in same])
+            self.kinds[width] = nodes, labels, sizes, words, folded(words) if width > 1 else None
+
+    def close_to(self, node: int, label: int, size: int, words: np.ndarray, percent: int) -> list[int]:
+        found = []
+        # Sets of which one is more than twice the other are never similar enough for a link of 50 in a hundred.
+        for width, (nodes, labels, sizes, whole, half) in self.kinds.items():
+            if width == len(words):
+                differ = whole ^ words
+            elif width == 2 * len(words):
+                differ = half ^ words
+            elif 2 * width == len(words):
+                differ = whole ^ folded(words)
+            else:
+                differ = whole[:, :0]
+                if percent > 50:
                     continue
-                if index is None:
-                    index = Index(held)
-                pairs += index.close_to(node, label, features, percent)
-            if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
-
-    crossing = stored(rows.mapInArrow(compare, "a long, b long").distinct(), "across")
-    dropped(members, span, met)
-    return crossing
+            apart = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+            fits = (apart * (100 + percent) <= (sizes + size) * (100 - percent)) & (labels != label) & (nodes != node)
+            found += nodes[fits].tolist()
+        return found
 
 
 class Index:
     """Features of a block of sets, to count what another set shares with each."""
 
-    def __init__(self, held: list[tuple[int, int, np.ndarray]]):
+    def __init__(self, held: list[tuple[int, int, int, np.ndarray]]):
         self.nodes = np.array([h[0] for h in held], np.int64)
         self.labels = np.array([h[1] for h in held], np.int64)
-        self.sizes = np.array([len(h[2]) for h in held], np.int64)
-        features = np.concatenate([h[2] for h in held]) if held else np.zeros(0, np.int64)
+        self.sizes = np.array([h[2] for h in held], np.int64)
+        features = np.concatenate([h[3] for h in held]) if held else np.zeros(0, np.int64)
         order = np.argsort(features, kind="stable")
         self.features = features[order]
         self.owners = np.repeat(np.arange(len(held)), self.sizes)[order]
 
-    def close_to(self, node: int, label: int, features: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    def close_to(self, node: int, label: int, size: int, features: np.ndarray, percent: int) -> list[int]:
         first = np.searchsorted(self.features, features, "left")
         count = np.searchsorted(self.features, features, "right") - first
         at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
         shared = np.bincount(self.owners[at], minlength=len(self.nodes))
-        found = is_close(shared, self.sizes, len(features), percent) & (self.labels != label) & (self.nodes != node)
-        return [(min(node, x), max(node, x)) for x in self.nodes[found].tolist()]
+        found = is_close(shared, self.sizes, size, percent) & (self.labels != label) & (self.nodes != node)
+        return self.nodes[found].tolist()
 
 
 def similar_documents(
