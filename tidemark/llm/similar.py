@@ -199,11 +199,19 @@ def is_close(shared: np.ndarray | int, left: np.ndarray | int, right: int, perce
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The distinct pairs of nodes whose sets are similar, by their whole sets."""
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    # Pairs whose sizes alone rule them out never meet the sets.
+    # Pairs that sizes or sketches rule out never meet the sets.
     for end in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}")), end)
+        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("sketch").alias(f"sketch_{end}")), end)
     near = 100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b")
-    pairs = stored(pairs.filter(near).select("a", "b"), "pairs")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("size_a").to_numpy().astype(np.int64) + batch.column("size_b").to_numpy()
+            apart = [cells_apart(*(np.frombuffer(v.as_buffer(), np.uint64) for v in two)) for two in zip(batch.column("sketch_a"), batch.column("sketch_b"), strict=True)]
+            kept = np.array(apart, np.int64) * (100 + percent) <= sizes * (100 - percent)
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    pairs = stored(pairs.filter(near).mapInArrow(sift, "a long, b long"), "pairs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,6 +329,13 @@ def folded(words: np.ndarray) -> np.ndarray:
     return words[..., :half] ^ words[..., half:]
 
 
+def cells_apart(left: np.ndarray, right: np.ndarray) -> int:
+    """In how many cells two sketches differ, at the width of the smaller one."""
+    while len(left) != len(right):
+        left, right = (folded(left), right) if len(left) > len(right) else (left, folded(right))
+    return int(np.bitwise_count(left ^ right).sum(dtype=np.int64))
+
+
 class Sketches:
     """Sketches of a block of sets, to rule out those that differ too much from another."""
 
