@@ -5,13 +5,15 @@ any sequence of pieces whose bytes are the word's; every sequence counts with th
 product of its pieces' probabilities. The forward recursion adds them up in log space,
 once per distinct word, for words are separated by white space and no piece spans it.
 
-The pieces and the order of their scores come with the vocabulary and stay as they
-are. Their probabilities start from that order and are fitted to the training
-documents by expected counts, from a forward and a backward recursion.
+Scores of the vocabulary that are log probabilities are taken as they are. Where they
+only rank the pieces, as a byte-pair vocabulary's do, probabilities start from that order
+and are fitted to the training documents by expected counts, from a forward and a
+backward recursion. The pieces stay as they are.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +29,14 @@ from .store import by_text, column, stored, text_key
 MARK = "▁".encode()
 #: Words whose lattices are worked on at once, times their length in bytes.
 LATTICE_CELLS = 200_000
+#: Words of more bytes have a lattice each, of the pieces that match.
+LONG_WORD = 256
+#: Edges of a long word's lattice that are Python numbers at a time.
+EDGES = 1 << 16
+#: Log probabilities of a vocabulary may add up to so much more than one, for rounding.
+SLACK = 1e-3
+#: How far below the lowest score a byte lies that no piece holds alone.
+UNKNOWN = 10.0
 #: Words gathered from Arrow batches before their lattices are made, for long arrays.
 GATHERED = 100_000
 #: Leading bits of a hash that tell most stretches which are no piece.
@@ -62,9 +72,9 @@ class Vocabulary:
 
 
 def pieces_of(model: bytes) -> tuple[list[bytes], np.ndarray]:
-    """Pieces of a ``sentencepiece`` model as bytes, and their order by score, from 0.
+    """Pieces of a ``sentencepiece`` model as bytes, by falling score, and their scores.
 
-    Byte pieces stand for their byte and come last, control pieces are left out.
+    Byte pieces stand for their byte and come last, without a score (NaN); control pieces are left out.
     """
     from sentencepiece import SentencePieceProcessor
 
@@ -79,21 +89,79 @@ def pieces_of(model: bytes) -> tuple[list[bytes], np.ndarray]:
         else:
             scored.append((-processor.get_score(i), name.encode()))
     scored.sort()
-    pieces = list(dict.fromkeys([p for _, p in scored]))
+    best: dict[bytes, float] = {}
+    for down, piece in scored:
+        best.setdefault(piece, -down)
     # A byte piece beside a piece of the same byte would be the same edge twice.
-    pieces += [b for b in single if b not in set(pieces)]
-    return pieces, np.arange(len(pieces), dtype=np.float64)
+    single = [b for b in single if b not in best]
+    return [*best, *single], np.array([*best.values(), *[np.nan] * len(single)])
+
+
+def as_scored(pieces: list[bytes], scores: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """Pieces with the log probabilities that their scores are, and every byte.
+
+    A byte that no piece with a score holds alone gets the lowest score less ``UNKNOWN``,
+    so that every word has a probability. Scores that are whole numbers, as ranks of merges
+    are, or that add up to more than one as probabilities are refused.
+    """
+    scored = np.isfinite(scores)
+    if (scores[scored] == np.round(scores[scored])).all() or np.exp(scores[scored]).sum() > 1 + SLACK:
+        raise ValueError("the vocabulary's scores are no log probabilities; fit them to the training rows instead")
+    known = [p for p, s in zip(pieces, scored, strict=True) if s]
+    rest = sorted({bytes([b]) for b in range(256)} - set(known))
+    lowest = scores[scored].min() - UNKNOWN
+    return known + rest, np.concatenate([scores[scored], np.full(len(rest), lowest)])
+
+
+def long_lattice(word: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins, ends and pieces of one word's lattice edges, by end, then by falling begin."""
+    body = np.concatenate([np.frombuffer(MARK, np.uint8), word])
+    sums, back = byte_sums(body)
+    begins, ends, pieces = [], [], []
+    for span in vocabulary.lengths:
+        at = np.arange(max(0, len(body) - span + 1))
+        if span > 1:
+            at = at[(at == 0) | (at >= len(MARK))]  # no piece but a byte begins inside the mark
+        hit, piece = vocabulary.edges(sums, back, at, span)
+        begins.append(at[hit])
+        ends.append(at[hit] + span)
+        pieces.append(piece)
+    begin, end, piece = np.concatenate(begins), np.concatenate(ends), np.concatenate(pieces)
+    order = np.lexsort((-begin, end))
+    return begin[order], end[order], piece[order]
+
+
+def along(source: np.ndarray, target: np.ndarray, weight: np.ndarray, length: int, start: int) -> np.ndarray:
+    """Log sums over all ways from ``start``, of edges of which each comes after all that end at its source."""
+    total = [-math.inf] * (length + 1)
+    total[start] = 0.0
+    for at in range(0, len(source), EDGES):
+        some = slice(at, at + EDGES)
+        for a, b, w in zip(source[some].tolist(), target[some].tolist(), weight[some].tolist(), strict=True):
+            more, had = total[a] + w, total[b]
+            if more > had:
+                more, had = had, more
+            if had > -math.inf:
+                total[b] = had + math.log1p(math.exp(more - had))
+    return np.array(total)
+
+
+def long_words(words: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """Places and bytes of the words that have a lattice each."""
+    offsets, raw = buffers(words)
+    for i in np.flatnonzero(np.diff(offsets) > LONG_WORD).tolist():
+        yield i, raw[offsets[i] : offsets[i + 1]]
 
 
 def lattices(words: pa.Array, vocabulary: Vocabulary):
-    """Per group of words of one length: their places, lattice edges and forward sums.
+    """Per group of words of one length, long ones left out: their places, lattice edges and forward sums.
 
     Yields ``(which, length, edges, alpha)``; ``edges`` has for each end, in order, lists
     of ``(begin, words, pieces)``. ``alpha[:, -1]`` is the log likelihood.
     """
     offsets, raw = buffers(words)
     sizes = np.diff(offsets)
-    for size in np.unique(sizes):
+    for size in np.unique(sizes[sizes <= LONG_WORD]):
         chosen = np.flatnonzero(sizes == size)
         length = len(MARK) + int(size)
         step = max(1, LATTICE_CELLS // length)
@@ -138,6 +206,10 @@ def likelihoods(words: pa.Array, vocabulary: Vocabulary) -> np.ndarray:
     out = np.zeros(len(words))
     for which, _, _, alpha in lattices(words, vocabulary):
         out[which] = alpha[:, -1]
+    for i, word in long_words(words):
+        begin, end, piece = long_lattice(word, vocabulary)
+        length = len(MARK) + len(word)
+        out[i] = along(begin, end, vocabulary.log_p[piece], length, 0)[length]
     return out
 
 
@@ -154,6 +226,13 @@ def expected_counts(words: pa.Array, times: np.ndarray, vocabulary: Vocabulary)
             share = np.exp(alpha[hit, begin] + tail - whole[hit])
             total += np.bincount(piece, weights=share * weight[hit], minlength=len(total))
             beta[hit, begin] = np.logaddexp(beta[hit, begin], tail)
+    for i, word in long_words(words):
+        begin, end, piece = long_lattice(word, vocabulary)
+        length, weight = len(MARK) + len(word), vocabulary.log_p[piece]
+        alpha = along(begin, end, weight, length, 0)
+        beta = along(end[::-1], begin[::-1], weight[::-1], length, length)
+        share = np.exp(alpha[begin] + weight + beta[end] - alpha[length])
+        total += np.bincount(piece, weights=share * times[i], minlength=len(total))
     return total
 
 
@@ -192,6 +271,7 @@ def lattice_scores(
     training: Column,
     *,
     text: str = "text",
+    weights: str = "fitted",
     rounds: int = 3,
     prior: float = 1000.0,
     head: int = HEAD,
@@ -200,17 +280,25 @@ def lattice_scores(
 
     Words are runs of bytes other than ASCII white space, A-Z as a-z; an end follows.
     ``model`` is a ``sentencepiece`` file, ``training`` tells the rows to learn from.
+    ``weights`` is ``scores`` for a vocabulary whose scores are log probabilities: they are
+    taken as they are, a byte that no piece holds alone lies below the lowest one, the end
+    has no score of its own, and ``training`` decides the baseline only. It is ``fitted``
+    for one whose scores are ranks; with ``scores`` such a vocabulary is refused.
     Returns the input's columns and ``n_tokens`` (with the end), ``n_known`` (seen in
     training), ``train_tokens``, ``base_score`` (add-one word unigrams) and ``score``,
     replacing columns of these names. All counts cover all training rows.
 
     Empty table: empty. Null and empty texts: the end alone. No training rows: the end is
     unknown, pieces keep their first guess. Repeated rows count as often as they come.
-    A null ``training`` is no training row. Long texts are read whole.
+    A null ``training`` is no training row. Long texts are read whole, and words of any length.
     """
     spark = docs.sparkSession
     with open(model, "rb") as file:
-        pieces, _ = pieces_of(file.read())
+        pieces, scores = pieces_of(file.read())
+    if weights not in ("scores", "fitted"):
+        raise ValueError(f"weights must be scores or fitted, not {weights}")
+    if weights == "scores":
+        pieces, scores = as_scored(pieces, scores)
     chosen = F.coalesce(training, F.lit(False))
     named = docs.select(text_key(column(text)).alias("key"), column(text).cast("string").alias("text"), chosen.alias("chosen"))
 
@@ -221,7 +309,8 @@ def lattice_scores(
     ends = docs.filter(chosen).count()
     totals = words.agg(F.coalesce(F.sum("chosen"), F.lit(0)), F.count_if(F.col("chosen") > 0)).first()
     n, distinct = totals[0] + ends, totals[1] + (1 if ends else 0)
-    log_p = spark.sparkContext.broadcast(fitted(spark, words, pieces, ends, rounds, prior))
+    log_p = np.append(scores, 0.0) if weights == "scores" else fitted(spark, words, pieces, ends, rounds, prior)
+    log_p = spark.sparkContext.broadcast(log_p)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(pieces, log_p.value[:-1])
